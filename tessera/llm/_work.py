@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.session import make_importable
+
 
 def shared_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; only where it is unset (tests, one machine) a local folder."""
@@ -27,6 +29,7 @@ class Workspace:
     """
 
     def __init__(self, spark: SparkSession, name: str) -> None:
+        make_importable(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self._path(self.root)[1].deleteOnExit(self._path(self.root)[0])

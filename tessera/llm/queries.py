@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import packing, records
+from tessera.llm import minhash, packing, records
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_documents(spark, sf_dir), threshold=0.8, shingle_words=5)
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), capacity=1024, end_id=2)
 
@@ -22,7 +26,7 @@ def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_best_fit_packing, op9_token_records)}
+    return {f.__name__: f for f in (op1_minhash_near_dedup, op2_best_fit_packing, op9_token_records)}
 
 
 def oracle_sql() -> dict[str, str]:
