@@ -31,10 +31,10 @@ def cut_pieces(docs: DataFrame, *, capacity: int = 1024, tokenizer: str | None =
         bpe = encoder(path)
         width = bpe.dtype.itemsize
         for batch in rows:
-            keys, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
-            for a, b in batches(texts):
+            keys = batch.column(0).to_pylist()
+            for a, texts in batches(batch.column(1)):
                 out = []
-                for key, ids in zip(keys[a:b], bpe.encode(texts[a:b], end_id), strict=True):
+                for key, ids in zip(keys[a : a + len(texts)], bpe.encode(texts, end_id), strict=True):
                     wide = np.frombuffer(ids, dtype=bpe.dtype).astype("<u4").tobytes()
                     n = len(ids) // width
                     start, length, piece = 0, (n - 1) % capacity + 1, 0

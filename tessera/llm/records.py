@@ -95,9 +95,9 @@ def write_token_records(docs: DataFrame, out: str, *, tokenizer: str | None = No
         place, n_tokens, index = 0, 0, []
         with open_write(mine) as f:
             for batch in rows:
-                keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-                for a, b in batches(texts):
-                    for key, ids in zip(keys[a:b], bpe.encode(texts[a:b], end_id), strict=True):
+                keys = batch.column(0).to_pylist()
+                for a, texts in batches(batch.column(1)):
+                    for key, ids in zip(keys[a : a + len(texts)], bpe.encode(texts, end_id), strict=True):
                         record = frame(token_payload(key, bpe.dtype.itemsize, ids))
                         f.write(record)
                         n = len(ids) // bpe.dtype.itemsize

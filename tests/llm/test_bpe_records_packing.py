@@ -4,6 +4,7 @@ import io
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -25,16 +26,16 @@ def plain(bpe, text):
     return [*bpe.tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
 
 
-@settings(max_examples=400, deadline=None)
+@settings(max_examples=1500, deadline=None)
 @given(st.lists(TEXTS, min_size=1, max_size=5))
 def test_chunks_do_not_change_ids(bpe, texts):
-    got = [np.frombuffer(x, "<u2").tolist() for x in bpe.encode(texts, 2)]
+    got = [np.frombuffer(x, "<u2").tolist() for x in bpe.encode(pa.array(texts, pa.string()), 2)]
     assert got == [plain(bpe, x) for x in texts]
 
 
 @pytest.mark.parametrize("text", ["", " ", "  ", "a  b", "a\n b", "a \n b", " a", "a ", "a\n ", "<|endoftext|>", "a <|endoftext|> b", "it's 'tis", "x  y"])
 def test_white_space_and_special_tokens(bpe, text):
-    assert np.frombuffer(bpe.encode([text], 2)[0], "<u2").tolist() == plain(bpe, text)
+    assert np.frombuffer(bpe.encode(pa.array([text]), 2)[0], "<u2").tolist() == plain(bpe, text)
 
 
 def rows(spark):
