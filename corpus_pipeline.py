@@ -3,21 +3,62 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import packing
+from tessera.llm import lines, minhash, nbsvm, packing, phrases
+from tessera.llm._labels import remainder
+from tessera.llm._work import Workspace
+
+#: Removed ids up to so many rows are sent to every task; more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
+
+
+def _without(docs: DataFrame, removed: DataFrame) -> DataFrame:
+    """``docs`` but for the removed ids; rows without an id stay."""
+    ids = Workspace(docs.sparkSession, "removed").keep(removed.select("doc_id").distinct(), "ids")
+    small = ids.count() <= BROADCAST_ROWS
+    return docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_anti")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return nbsvm.accepted(docs, nbsvm.train(docs, labels, "quality", remainder("doc_id", 3) != 1))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that an earlier line nearly equals; n_chars follows the text."""
+    cleaned = lines.drop_lines(docs, lines.duplicate_lines(docs, threshold=0.8, shingle_words=5))
+    return cleaned.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates, the document with the smallest id."""
+    return _without(docs, minhash.near_duplicates(docs, threshold=0.8, shingle_words=5).filter(~F.col("kept"))).select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth stands in benchmark windows."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _without(docs, phrases.contamination(docs, items, window=13, share=20).filter("contaminated")).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces and their places in sequences of 1024."""
     return packing.pack_documents(docs, capacity=1024, end_id=2)
 
 
-STAGES = [("best-fit packing", pack)]
+STAGES = [("quality classifier", quality), ("line dedup", line_dedup), ("MinHash near-dedup", near_dedup), ("benchmark decontamination", decontaminate), ("best-fit packing", pack)]
 #: Tokenizers and a trained classifier can't be expressed in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the table documents; each one's result is written and read again by the next."""
+    work = Workspace(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = work.keep(docs, f"stage-{i}")
     return docs

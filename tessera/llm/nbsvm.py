@@ -190,6 +190,19 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
 
 
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, all columns kept, whose text scores 0.5 or more; no shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, rows in indicators(batch.column(at)):
+                yield batch.slice(start, len(rows)).filter(pa.array(shared.value.scores(rows) >= 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame, *, target: str = "quality", modulus: int = 3, held: int = 1, most: int = 3000) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted.
 

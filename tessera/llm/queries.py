@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import covertree, hilbert, minhash, nbsvm, packing, pseudo, records, zdict
+from tessera.llm import covertree, hilbert, lines, minhash, nbsvm, packing, phrases, pseudo, records, zdict
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +33,11 @@ def op4_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.shard_documents(_documents(spark, sf_dir), shards=16)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return lines.line_report(docs, lines.duplicate_lines(docs, threshold=0.8, shingle_words=5))
+
+
 def op6_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbsvm.classify(_documents(spark, sf_dir), _labels(spark, sf_dir), target="quality", modulus=3, held=1)
 
@@ -41,6 +46,10 @@ def op7_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudo.score_documents(_documents(spark, sf_dir))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=13, share=20)
+
+
 def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.token_record_digests(_documents(spark, sf_dir), end_id=2)
 
@@ -55,8 +64,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op2_best_fit_packing,
         op3_cover_tree_near_dedup,
         op4_hilbert_sharding,
+        op5_line_dedup,
         op6_quality_nbsvm,
         op7_pseudo_likelihood,
+        op8_decontamination,
         op9_token_records,
         op10_toxicity_compression,
     )
@@ -64,4 +75,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_line_dedup": lines.SQL, "op8_decontamination": phrases.SQL}
