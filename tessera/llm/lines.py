@@ -15,11 +15,12 @@ def _sent(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def tokens(line: Column, size: int) -> Column:
-    """Distinct hashes of the runs of ``size`` words of a line, lower-cased and cut at spaces, in ascending order."""
-    w = F.filter(F.split(F.lower(line), " "), lambda x: x != "")
-    runs = F.transform(F.sequence(F.lit(0), F.size(w) - size), lambda i: F.xxhash64(*(F.get(w, i + k) for k in range(size))))
-    return F.when(F.size(w) >= size, F.sort_array(F.array_distinct(runs)))
+def with_tokens(lines: DataFrame, size: int) -> DataFrame:
+    """``line`` replaced by ``t``: distinct hashes of its runs of ``size`` words, lower-cased and cut at spaces, ascending; null for shorter lines."""
+    # The words are a column of their own: inside a lambda they would be cut again for every run, above a filter once more.
+    cut = lines.withColumn("w", F.filter(F.split(F.lower("line"), " "), lambda x: x != "")).drop("line")
+    runs = F.transform(F.sequence(F.lit(0), F.size("w") - size), lambda i: F.xxhash64(*(F.get(F.col("w"), i + k) for k in range(size))))
+    return cut.withColumn("t", F.when(F.size("w") >= size, F.sort_array(F.array_distinct(runs)))).drop("w")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -49,9 +50,9 @@ def duplicate_lines(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
     empty table gives no rows. Other columns are not read.
     """
     work = Workspace(docs.sparkSession, "lines")
-    made = _lines(docs).select("doc_id", "line_no", tokens(F.col("line"), shingle_words).alias("t")).filter("t is not null")
+    made = with_tokens(_lines(docs), shingle_words)
     made = made.select("doc_id", "line_no", F.size("t").alias("n"), F.xxhash64("t").alias("k1"), F.xxhash64(F.lit(1), F.reverse("t")).alias("k2"), F.slice("t", F.lit(1), _prefix(F.size("t"), threshold)).alias("prefix"))
-    made = work.keep(made, "made")
+    made = work.keep(made, "made").filter("n is not null")
     place = F.struct("doc_id", "line_no")
     sets = made.groupBy("k1", "k2", "n").agg(F.min(place).alias("at"), F.count("*").alias("times"), F.first("prefix").alias("prefix"))
     sets = work.keep(sets.select("at.doc_id", "at.line_no", "n", "k1", "k2", "times", "prefix"), "sets")
@@ -63,8 +64,8 @@ def duplicate_lines(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
     open_lines = work.keep(posted.join(_sent(shared), "token", "left_semi").select("doc_id", "line_no").distinct(), "open")
     per_doc = open_lines.groupBy("doc_id").agg(F.collect_set("line_no").alias("wanted"))
     again = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(_sent(per_doc), "doc_id").select("doc_id", "wanted", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    whole = again.filter(F.array_contains("wanted", F.col("line_no"))).select("doc_id", "line_no", tokens(F.col("line"), shingle_words).alias("t"))
-    whole = work.keep(whole.filter("t is not null").dropDuplicates(["doc_id", "line_no"]), "whole")
+    wanted = again.filter(F.array_contains("wanted", F.col("line_no"))).select("doc_id", "line_no", "line")
+    whole = work.keep(with_tokens(wanted, shingle_words).dropDuplicates(["doc_id", "line_no"]), "whole")
 
     token = whole.select("doc_id", "line_no", F.size("t").alias("n"), F.explode("t").alias("token"))
     rarity = token.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1")
