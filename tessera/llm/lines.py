@@ -9,6 +9,8 @@ from tessera.llm._work import Workspace
 
 #: Tables of at most so many rows (of a few numbers) are sent to every task instead of shuffled.
 BROADCAST_ROWS = 500_000
+#: A token that at most so many lines have in their prefixes makes no more pairs per line than this.
+FEW = 8
 
 
 def _sent(df: DataFrame) -> DataFrame:
@@ -38,7 +40,8 @@ def duplicate_lines(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
     A line's tokens are its distinct runs of ``shingle_words`` words; lines
     with fewer words have none and are left alone. Equal sets are merged first.
     Lines that share no token of their prefixes under one fixed order with any
-    other line cannot match and leave; the rest are ordered by how rare their
+    other line cannot match and leave; tokens of few holders make pairs at
+    once. Lines with a token of many holders are ordered by how rare their
     tokens are among them, and prefix, position and length filters leave the
     pairs whose sets are compared. Each line is first tried against the
     earliest holder of its prefix tokens; only lines that this does not decide
@@ -57,17 +60,36 @@ def duplicate_lines(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
     sets = made.groupBy("k1", "k2", "n").agg(F.min(place).alias("at"), F.count("*").alias("times"), F.first("prefix").alias("prefix"))
     sets = work.keep(sets.select("at.doc_id", "at.line_no", "n", "k1", "k2", "times", "prefix"), "sets")
     repeated = made.select("doc_id", "line_no", "n", "k1", "k2").join(_sent(sets.filter("times > 1").select("k1", "k2", "n", F.col("doc_id").alias("d"), F.col("line_no").alias("l"))), ["k1", "k2", "n"])
-    repeated = repeated.filter((F.col("doc_id") != F.col("d")) | (F.col("line_no") != F.col("l"))).select("doc_id", "line_no")
+    repeated = work.keep(repeated.filter((F.col("doc_id") != F.col("d")) | (F.col("line_no") != F.col("l"))).select("doc_id", "line_no"), "repeated")
+    work.drop("made")
 
-    posted = sets.select("doc_id", "line_no", F.explode("prefix").alias("token"))
-    shared = work.keep(posted.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token"), "shared")
-    open_lines = work.keep(posted.join(_sent(shared), "token", "left_semi").select("doc_id", "line_no").distinct(), "open")
-    per_doc = open_lines.groupBy("doc_id").agg(F.collect_set("line_no").alias("wanted"))
+    posted = sets.select("doc_id", "line_no", "n", F.posexplode("prefix").alias("pos", "token"))
+    shared = work.keep(posted.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1"), "shared")
+    postings = work.keep(posted.join(_sent(shared), "token"), "postings")
+    work.drop("sets", "shared")
+
+    def candidates(late: DataFrame, early: DataFrame) -> DataFrame:
+        other = early.select("token", F.col("doc_id").alias("d"), F.col("line_no").alias("l"), F.col("n").alias("m"), F.col("pos").alias("p"))
+        earlier = (F.col("d") < F.col("doc_id")) | ((F.col("d") == F.col("doc_id")) & (F.col("l") < F.col("line_no")))
+        length = F.least("n", "m") >= threshold * F.greatest("n", "m") - 1e-9
+        needed = (F.col("n") + F.col("m")) * (threshold / (1 + threshold)) - 1e-9
+        position = F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("p")) >= needed
+        return late.join(other, "token").filter(earlier & length & position).select("doc_id", "line_no", "d", "l").distinct()
+
+    # Pairs that share a token of few holders are tried as they are; lines with a token of many are ordered anew.
+    few = postings.filter(F.col("c") <= FEW)
+    direct = work.keep(candidates(few, few), "direct")
+    crowded = postings.filter(F.col("c") > FEW).select("doc_id", "line_no").distinct()
+    crowded = work.keep(crowded, "crowded")
+    wanted = direct.select("doc_id", "line_no").unionByName(direct.select(F.col("d").alias("doc_id"), F.col("l").alias("line_no"))).unionByName(crowded).distinct()
+    per_doc = work.keep(wanted.groupBy("doc_id").agg(F.collect_set("line_no").alias("wanted")), "wanted")
     again = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(_sent(per_doc), "doc_id").select("doc_id", "wanted", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    wanted = again.filter(F.array_contains("wanted", F.col("line_no"))).select("doc_id", "line_no", "line")
-    whole = work.keep(with_tokens(wanted, shingle_words).dropDuplicates(["doc_id", "line_no"]), "whole")
+    chosen = again.filter(F.array_contains("wanted", F.col("line_no"))).select("doc_id", "line_no", "line")
+    whole = work.keep(with_tokens(chosen, shingle_words).dropDuplicates(["doc_id", "line_no"]), "whole")
+    work.drop("postings")
 
-    token = whole.select("doc_id", "line_no", F.size("t").alias("n"), F.explode("t").alias("token"))
+    token = whole.join(crowded, ["doc_id", "line_no"], "left_semi").select("doc_id", "line_no", F.size("t").alias("n"), F.explode("t").alias("token"))
+    token = work.keep(token, "token")
     rarity = token.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1")
     common = token.join(rarity, "token").groupBy("doc_id", "line_no", "n").agg(F.sort_array(F.collect_list(F.struct("c", "token"))).alias("common"))
     # Tokens that one line alone has come first in its order: a prefix made of them alone has no partner.
@@ -75,14 +97,7 @@ def duplicate_lines(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
     kept = common.withColumn("alone", alone).withColumn("head", _prefix(F.col("n"), threshold) - F.col("alone")).filter("head > 0")
     entries = kept.select("doc_id", "line_no", "n", "alone", F.posexplode(F.slice("common", F.lit(1), F.col("head"))).alias("i", "e"))
     entries = work.keep(entries.select("doc_id", "line_no", "n", (F.col("alone") + F.col("i")).alias("pos"), F.col("e.token").alias("token")), "entries")
-
-    def candidates(late: DataFrame, early: DataFrame) -> DataFrame:
-        other = early.select("token", F.col("doc_id").alias("d"), F.col("line_no").alias("l"), F.col("n").alias("m"), F.col("pos").alias("p"))
-        earlier = (F.col("d") < F.col("doc_id")) | ((F.col("d") == F.col("doc_id")) & (F.col("l") < F.col("line_no")))
-        length = F.least("n", "m") >= threshold * F.greatest("n", "m") - 1e-9
-        needed = (F.col("n") + F.col("m")) * (threshold / (1 + threshold)) - 1e-9
-        position = F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("p")) >= needed
-        return late.join(other, "token").filter(earlier & length & position).select("doc_id", "line_no", "d", "l").distinct()
+    work.drop("token")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """doc_id, line_no of pairs whose sets reach the threshold."""
@@ -93,13 +108,13 @@ def duplicate_lines(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
         return joined.filter(both >= threshold * (F.size("t") + F.size("u") - both) - 1e-9).select("doc_id", "line_no").distinct()
 
     heads = entries.groupBy("token").agg(F.min(F.struct("doc_id", "line_no", "n", "pos")).alias("h")).select("token", "h.*")
-    first = work.keep(candidates(entries, heads), "first")
+    first = work.keep(candidates(entries, heads).unionByName(direct).distinct(), "first")
     decided = work.keep(verified(first), "decided")
     undecided = entries.join(decided, ["doc_id", "line_no"], "left_anti")
     rest = candidates(undecided, entries).join(first, ["doc_id", "line_no", "d", "l"], "left_anti")
     more = work.keep(verified(rest), "more")
     out = work.keep(repeated.unionByName(decided).unionByName(more).distinct(), "out")
-    work.drop("made", "sets", "whole", "entries", "first")
+    work.drop("whole", "entries", "first", "direct", "crowded", "wanted")
     return out
 
 
