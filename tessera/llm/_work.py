@@ -25,7 +25,7 @@ class Workspace:
 
     ``keep`` writes a frame as Parquet and reads it again, which cuts its
     lineage: a lost executor costs the tasks in flight, never the steps before.
-    ``drop`` deletes what is no longer read. The rest goes when the JVM ends.
+    ``drop`` deletes what is no longer read, exchange files of past steps too. The rest goes when the JVM ends.
     """
 
     def __init__(self, spark: SparkSession, name: str) -> None:
@@ -49,6 +49,8 @@ class Workspace:
         for name in names:
             path, fs = self._path(self.uri(name))
             fs.delete(path, True)
+        # Spark deletes an exchange's files when the driver's collector finds it unused, which may be long after.
+        self.spark._jvm.System.gc()
 
 
 def local_path(uri: str) -> str | None:

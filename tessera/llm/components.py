@@ -30,7 +30,6 @@ def connected_components(links: DataFrame, work: Workspace, name: str = "compone
         joined = large.join(least, "u")
         smaller = joined.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         after = work.keep(smaller, f"{name}-{turn + 1}")
-        work.drop(f"{name}-{turn}", f"{name}-large-{turn}")
         now = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         edges, turn = after, turn + 1
         if now == state:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm._words import constants, mix, shingles, texts_of, words
@@ -148,6 +148,17 @@ def member_sets(texts: DataFrame, *, shingle_words: int, weighting: str) -> Data
     return texts.select("doc_id", "text", "key1").mapInArrow(run, "doc_id long, members array<long>")
 
 
+def near_classes(links: DataFrame) -> DataFrame:
+    """node, class: the smallest node within three links. Coarse enough to spare pairs of a crowd around one centre, and
+    far cheaper than components; nodes of one component with different classes only make pairs that were not needed."""
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    label = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("class"))
+    for _ in range(2):
+        reached = both.join(label.select(F.col("a").alias("b"), F.col("class").alias("c")), "b")
+        label = reached.groupBy("a").agg(F.least(F.col("a"), F.min("c")).alias("class"))
+    return label.select(F.col("a").alias("node"), "class")
+
+
 def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, shingle_words: int = 5, weighting: str = "set", banding: Banding = Banding()) -> DataFrame:
     """One row per document: doc_id, component_id (smallest id it is linked to over any path), kept (that is its own).
 
@@ -156,11 +167,12 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
     computed exactly. ``weighting="count"`` weighs a shingle by how often it
     stands in the text; "set" weighs all alike.
 
-    Equal sets are merged before any pairing. In each bucket every member is
-    first held against the bucket's smallest one; what that links is one class,
-    and only members of different classes are paired after that, so a bucket of
-    thousands of copies makes as many pairs as members and no link between
-    classes is lost.
+    Equal sets are merged before any pairing. In turns, the members of each
+    bucket are held against its likeliest centres that were none before (2, 4,
+    8 and so on); what that links becomes one class, and only members of
+    different classes are paired after that. When no more pairs are left than
+    all buckets have members, all of them are tried. So a crowd of copies makes
+    some pairs per member, not all, and no link between classes is lost.
 
     Null, empty and wordless texts link with nothing. Rows that repeat a doc_id
     with the same text are one document with one fate, those with another text
@@ -173,13 +185,13 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
     reps = usable.groupBy("key1", "key2", "size").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     reps = work.keep(reps, "reps")
     posted = reps.select("rep", "size", F.explode("bands").alias("bucket"))
-    found = posted.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct("rep", "size")).alias("head")).filter("n > 1").select("bucket", "head")
+    found = posted.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     members = work.keep(posted.join(found, "bucket"), "members")
+    # A text that shares many buckets is a likely centre of its crowd.
+    weight = members.groupBy("rep").agg(F.sum("n").alias("weight"))
+    members = work.keep(members.join(weight, "rep"), "weighted")
 
-    alike = lambda a, b: F.least(a, b) >= threshold * F.greatest(a, b)  # noqa: E731  sizes that allow the threshold
-    first = members.filter((F.col("rep") != F.col("head.rep")) & alike(F.col("size"), F.col("head.size")))
-    tried = work.keep(first.select(F.col("rep").alias("b"), F.col("head.rep").alias("a")).distinct(), "tried")
-    wanted = members.select("rep").distinct().join(reps.select("rep", "key1"), "rep").withColumnRenamed("rep", "doc_id")
+    wanted = weight.select("rep").join(reps.select("rep", "key1"), "rep").withColumnRenamed("rep", "doc_id")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
     sets = work.keep(member_sets(texts, shingle_words=shingle_words, weighting=weighting), "sets")
 
@@ -189,22 +201,43 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
         shared = F.size(F.array_intersect("x", "y"))
         return pairs.join(left, "a").join(right, "b").withColumn("shared", shared).filter(F.col("shared") >= threshold * (F.size("x") + F.size("y") - F.col("shared"))).select("a", "b")
 
-    links = work.keep(verified(tried), "links")
-    classes = connected_components(links, work, "classes")
-    classed = members.join(classes, members.rep == classes.node, "left").select("bucket", "rep", "size", F.coalesce("component", "rep").alias("class"))
-    mixed = classed.groupBy("bucket").agg((F.min("class") != F.max("class")).alias("mixed")).filter("mixed").select("bucket")
-    open_members = work.keep(classed.join(mixed, "bucket", "left_semi"), "open")
-    left, right = (open_members.select("bucket", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "size", "class"))) for s in "ab")
-    pairs = (
-        left.join(right, "bucket")
-        .filter((F.col("rep_a") < F.col("rep_b")) & (F.col("class_a") != F.col("class_b")) & alike(F.col("size_a"), F.col("size_b")))
-        .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
-        .distinct()
-        .join(tried, ["a", "b"], "left_anti")
-    )
-    more = work.keep(verified(pairs), "more")
-    final = work.keep(connected_components(links.unionByName(more), work, "final"), "final")
-    work.drop("members", "open", "sets")
+    def across(left: DataFrame, right: DataFrame) -> DataFrame:
+        """Pairs of one bucket, of two classes, whose sizes allow the threshold; each pair once."""
+        other = right.select("bucket", *(F.col(c).alias(f"{c}_") for c in ("rep", "size", "class")))
+        alike = F.least("size", "size_") >= threshold * F.greatest("size", "size_")
+        pairs = left.join(other, "bucket").filter(alike & (F.col("class") != F.col("class_")))
+        return pairs.select(F.least("rep", "rep_").alias("a"), F.greatest("rep", "rep_").alias("b")).distinct()
+
+    classed = members.withColumn("class", F.col("rep"))
+    used, tried, links, turn, met = None, None, None, 0, 0
+    all_rows = members.count()
+    while True:
+        met += (more_heads := 2 << turn)
+        free = classed if used is None else classed.join(used, ["bucket", "rep"], "left_anti")
+        rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("weight"), "rep"))
+        heads = work.keep(free.withColumn("rank", rank).filter(F.col("rank") <= more_heads).drop("rank"), f"heads-{turn}")
+        used = heads.select("bucket", "rep") if used is None else used.unionByName(heads.select("bucket", "rep"))
+        pairs = across(classed, heads)
+        pairs = work.keep(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), f"tried-{turn}")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        more = work.keep(verified(pairs), f"links-{turn}")
+        links = more if links is None else links.unionByName(more)
+        known = work.keep(near_classes(links), f"classes-{turn}")
+        joined = classed.drop("class").join(known, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "size", "weight", F.coalesce("class", "rep").alias("class"))
+        # Only buckets of several classes, with members that no head has met, are still open.
+        sizes = joined.groupBy("bucket", "class").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
+        opened = sizes.filter((F.col("n") * F.col("n") > F.col("own")) & (F.col("n") > met + 1))
+        opened = work.keep(opened, f"open-{turn}")
+        rows, left = opened.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2), F.lit(0))).first()
+        classed = work.keep(joined.join(opened.select("bucket"), "bucket", "left_semi"), f"classed-{turn}")
+        turn += 1
+        if left <= all_rows:
+            break
+    if rows:
+        rest = across(classed, classed).join(tried, ["a", "b"], "left_anti")
+        links = links.unionByName(work.keep(verified(rest), "rest"))
+    final = work.keep(connected_components(links, work, "last"), "final")
+    work.drop("members", "weighted", "sets")
     label = reps.join(final, reps.rep == final.node, "left").select("key1", "key2", "size", F.coalesce("component", "rep").alias("component_id"))
     ids = signed.select("doc_id", "key1", "key2", "size")
     joined = ids.join(label, ["key1", "key2", "size"], "left")

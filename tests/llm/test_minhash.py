@@ -65,3 +65,16 @@ def test_components_of_a_chain_and_a_star(spark, size):
     got = {r.node: r.component for r in graph.connected_components(df, Workspace(spark, "test")).collect()}
     nodes = {n for a, b in links if a != b for n in (a, b)}
     assert got == components(nodes, [x for x in links if x[0] != x[1]])
+
+
+def test_crowds_of_near_misses(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(60):
+        words = [f"w{j}" for j in range(120)]
+        for j in rng.choice(120, 1 + 2 * (i % 2), replace=False):
+            words[j] = f"x{i}y{j}"
+        rows.append((i, " ".join(words)))
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = expected(rows)
+    assert 1 < len(set(want.values())) < 60 and got == want
