@@ -125,10 +125,10 @@ def train_step(parameters: list[np.ndarray], memory: list[np.ndarray], around: n
         p -= rate * g / np.sqrt(m + 1e-8)
 
 
-def train_round(docs: DataFrame, parameters: list[np.ndarray], vocab: Vocabulary, shape: Shape, work: Workspace, name: str, *, every: int, batch_size: int, rate: float) -> list[np.ndarray]:
+def train_round(docs: DataFrame, parameters: list[np.ndarray], vocab: Vocabulary, shape: Shape, work: Workspace, turn: int, *, every: int, batch_size: int, rate: float) -> list[np.ndarray]:
     """Every task trains a copy on one in ``every`` words of its texts; the copies' mean, weighted by words, is the result.
 
-    The copies are summed over the cluster in streams, so the driver gets a few
+    Which words these are moves on by one with each ``turn``. The copies are summed over the cluster in streams, so the driver gets a few
     sums whatever the input's size.
     """
     flat = np.concatenate([p.reshape(-1) for p in parameters])
@@ -136,7 +136,7 @@ def train_round(docs: DataFrame, parameters: list[np.ndarray], vocab: Vocabulary
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = [p.copy() for p in parameters]
         memory = [np.zeros_like(p) for p in own]
-        seen, phase, left = 0, TaskContext.get().partitionId() % every, []
+        seen, phase, left = 0, (TaskContext.get().partitionId() + turn) % every, []
         for batch in batches:
             for _, data, offsets in texts_of(batch.column(0)):
                 hashes, counts = words(data, offsets)
@@ -162,7 +162,7 @@ def train_round(docs: DataFrame, parameters: list[np.ndarray], vocab: Vocabulary
             yield pa.RecordBatch.from_pydict({"n": [weight], "parameters": [(total / weight).astype(np.float32).tobytes()]})
 
     copies = docs.select("text").mapInArrow(run, "n double, parameters binary")
-    sums = work.keep(copies.repartition(8).mapInArrow(add, "n double, parameters binary"), name).toArrow().to_pylist()
+    sums = work.keep(copies.repartition(8).mapInArrow(add, "n double, parameters binary"), f"round-{turn}").toArrow().to_pylist()
     if not sums:
         return parameters
     weight = sum(r["n"] for r in sums)
@@ -189,8 +189,8 @@ class Model:
         return out
 
 
-def train(docs: DataFrame, *, shape: Shape = Shape(), rounds: int = 2, every: int = 16, batch_size: int = 256, rate: float = 0.05) -> Model:
-    """Counts over all words, then ``rounds`` rounds of training over all texts."""
+def train(docs: DataFrame, *, shape: Shape = Shape(), rounds: int = 2, every: int = 1, batch_size: int = 256, rate: float = 0.05) -> Model:
+    """Counts over all words, then ``rounds`` rounds of training on every word of every text (with ``every`` above 1, on one in so many)."""
     work = Workspace(docs.sparkSession, "pseudo")
     counted = work.keep(count_buckets(docs, shape), "counts").toArrow()
     counts = np.zeros(shape.buckets, dtype=np.int64)
@@ -198,7 +198,7 @@ def train(docs: DataFrame, *, shape: Shape = Shape(), rounds: int = 2, every: in
     vocab = vocabulary(counts, shape)
     parameters = start_parameters(shape, counts, vocab)
     for k in range(rounds):
-        parameters = train_round(docs, parameters, vocab, shape, work, f"round-{k}", every=every, batch_size=batch_size, rate=rate)
+        parameters = train_round(docs, parameters, vocab, shape, work, k, every=every, batch_size=batch_size, rate=rate)
     return Model(shape, vocab, bounded(parameters))
 
 

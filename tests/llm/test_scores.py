@@ -110,3 +110,11 @@ def test_training_lowers_the_loss():
         for i in range(0, 1200, 50):
             pseudo.train_step(parameters, memory, around[:, i : i + 50], words_[i : i + 50], 0.1)
     assert loss() < 0.2 < before
+
+
+def test_every_word_is_a_target(spark):
+    # A task's first word and each sixteenth after it are z; of the others each follows from its neighbours.
+    text = " ".join("z" if i % 16 == 0 else "ab"[i % 2] for i in range(3200))
+    docs = spark.createDataFrame([(i, text) for i in range(8)], "doc_id long, text string").coalesce(1)
+    rows = pseudo.score_documents(docs).collect()
+    assert len(rows) == 8 and all(r.mean_log_likelihood > -0.5 for r in rows)
