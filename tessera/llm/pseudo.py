@@ -148,6 +148,10 @@ def train_round(docs: DataFrame, parameters: list[np.ndarray], vocab: Vocabulary
                 for i in range(0, cut, batch_size):
                     train_step(own, memory, around[:, i : i + batch_size], target[i : i + batch_size], rate)
                 left, seen = [(around[:, cut:], target[cut:])], seen + cut
+        for around, target in left:
+            if len(target):
+                train_step(own, memory, around, target, rate)
+                seen += len(target)
         if seen:
             mean = np.concatenate([p.reshape(-1) for p in own]).astype(np.float32)
             yield pa.RecordBatch.from_pydict({"n": [float(seen)], "parameters": [mean.tobytes()]})

@@ -118,3 +118,8 @@ def test_every_word_is_a_target(spark):
     docs = spark.createDataFrame([(i, text) for i in range(8)], "doc_id long, text string").coalesce(1)
     rows = pseudo.score_documents(docs).collect()
     assert len(rows) == 8 and all(r.mean_log_likelihood > -0.5 for r in rows)
+
+
+def test_few_words_train_too(spark):
+    docs = spark.createDataFrame([(i, "a b c d " * 5) for i in range(3)], "doc_id long, text string").repartition(3)
+    assert np.abs(pseudo.train(docs).parameters[1]).max() > 0
