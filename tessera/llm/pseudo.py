@@ -19,10 +19,11 @@ _U = np.uint64
 
 @dataclass(frozen=True)
 class Shape:
-    """Words fall into ``buckets`` by hash; the ``own`` most frequent buckets are classes of their own, the others
-    share the rest of ``classes``; the network sees ``side`` words on either side through ``hidden`` units."""
+    """The ``own`` most frequent words are classes of their own, the others share the rest of ``classes`` by how
+    frequent they are; the network sees ``side`` words on either side through ``hidden`` units. With ``buckets`` set,
+    words first fall into so many buckets by hash, which stand for words then."""
 
-    buckets: int = 1 << 16
+    buckets: int | None = None
     classes: int = 256
     own: int = 192
     side: int = 2
@@ -35,46 +36,104 @@ class Shape:
 
 @dataclass
 class Vocabulary:
-    """``of_bucket``: class of each bucket; ``within``: log share of the bucket in its class, by counts over all texts."""
+    """``of_bucket``: class of each word (row); ``within``: log share of the word in its class, by counts over all texts.
+
+    ``hashes``, ascending, are the words that stand more than once in all texts; the row after them is any other
+    word, which stands there once. Without them rows are buckets.
+    """
 
     of_bucket: np.ndarray
     within: np.ndarray
+    mass: np.ndarray
+    hashes: np.ndarray | None = None
+
+    def rows(self, hashes: np.ndarray, shape: Shape) -> np.ndarray:
+        if self.hashes is None:
+            return buckets(hashes, shape)
+        if not len(self.hashes):
+            return np.zeros(len(hashes), dtype=np.int64)
+        distinct, back = np.unique(hashes, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.hashes, distinct), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == distinct, at, len(self.hashes))[back]
 
 
 def buckets(hashes: np.ndarray, shape: Shape) -> np.ndarray:
     return (mix(hashes ^ constants(1, 11)[0]) % _U(shape.buckets)).astype(np.int64)
 
 
-def count_buckets(docs: DataFrame, shape: Shape) -> DataFrame:
-    """bucket, n over every word of every text; each task sums its own before the shuffle."""
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    distinct, back = np.unique(keys, return_inverse=True)
+    return distinct, np.bincount(back, counts, len(distinct)).astype(np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(shape.buckets, dtype=np.int64)
-        for batch in batches:
-            for _, data, offsets in texts_of(batch.column(0)):
-                counts += np.bincount(buckets(words(data, offsets)[0], shape), minlength=shape.buckets)
-        seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], names=["bucket", "n"])
 
-    return docs.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+def count_words(docs: DataFrame, shape: Shape, most: int = 1_000_000) -> DataFrame:
+    """word (its hash, or its bucket), n over every word of every text; each task sums its own before the shuffle."""
 
+    def table(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        keys, counts = summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["word", "n"])
 
-def vocabulary(counts: np.ndarray, shape: Shape) -> Vocabulary:
-    order = np.lexsort((np.arange(shape.buckets), -counts))
-    of_bucket = np.empty(shape.buckets, dtype=np.int64)
-    of_bucket[order[: shape.own]] = np.arange(shape.own)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for batch in batches:
+            for _, data, offsets in texts_of(batch.column(0)):
+                hashes = words(data, offsets)[0]
+                keys = hashes if shape.buckets is None else buckets(hashes, shape).astype(_U)
+                parts.append(np.unique(keys, return_counts=True))
+                size += len(parts[-1][0])
+                if size > most:
+                    parts = [summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))]
+                    if len(parts[0][0]) > most // 2:
+                        yield table(parts)
+                        parts = []
+                    size = sum(len(x) for x, _ in parts)
+        if parts:
+            yield table(parts)
+
+    return docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def vocabulary(counts: np.ndarray, shape: Shape, hashes: np.ndarray | None = None) -> Vocabulary:
+    """Of counts by bucket or, with ``hashes``, by word, the last count being that of all words that stand once."""
+    order = np.lexsort((np.arange(len(counts)), -counts))
+    if hashes is not None:
+        order = np.append(order[order != len(counts) - 1], len(counts) - 1)
+    of_bucket = np.empty(len(counts), dtype=np.int64)
+    own = order[: shape.own]
+    of_bucket[own] = np.arange(len(own))
     rest = order[shape.own :]
-    of_bucket[rest] = shape.own + np.arange(len(rest)) % (shape.classes - shape.own)
-    smooth = counts + 1.0
-    return Vocabulary(of_bucket, np.log(smooth) - np.log(np.bincount(of_bucket, smooth, shape.classes))[of_bucket])
+    # Neighbours by frequency share a class; each class has about as many occurrences.
+    smooth = counts + 1.0 if hashes is None else np.maximum(counts, 1.0)
+    share = (np.cumsum(smooth[rest]) - smooth[rest] / 2) / max(smooth[rest].sum(), 1.0)
+    of_bucket[rest] = shape.own + np.minimum(share * (shape.classes - shape.own), shape.classes - shape.own - 1).astype(np.int64)
+    mass = np.bincount(of_bucket, smooth, shape.classes)
+    each = smooth.copy()
+    if hashes is not None:
+        each[-1] = 1.0
+    return Vocabulary(of_bucket, np.log(each) - np.log(mass[of_bucket]), mass, hashes)
+
+
+def count(docs: DataFrame, shape: Shape, work: Workspace) -> Vocabulary:
+    """The counts of all words stay in a table; those that stand more than once, and the number of the others, come to the driver."""
+    counted = work.keep(count_words(docs, shape), "counts")
+    if shape.buckets is not None:
+        found = counted.toArrow()
+        counts = np.zeros(shape.buckets, dtype=np.int64)
+        counts[found.column("word").to_numpy()] = found.column("n").to_numpy()
+        return vocabulary(counts, shape)
+    once = counted.filter("n = 1").count()
+    found = counted.filter("n > 1").toArrow()
+    hashes = found.column("word").to_numpy().view(_U)
+    order = np.argsort(hashes)
+    return vocabulary(np.append(found.column("n").to_numpy()[order], once), shape, hashes[order])
 
 
-def start_parameters(shape: Shape, counts: np.ndarray, vocab: Vocabulary) -> list[np.ndarray]:
+def start_parameters(shape: Shape, vocab: Vocabulary) -> list[np.ndarray]:
     rng = np.random.default_rng(3)
     embed, bias, out, base = (np.zeros(s, dtype=np.float32) for s in shape.sizes)
     embed += rng.normal(0, 0.3, embed.shape)
     out += rng.normal(0, 0.1, out.shape)
-    n = np.bincount(vocab.of_bucket, counts + 1.0, shape.classes)
+    n = vocab.mass + 1.0
     base += np.log(n / n.sum())
     return [embed, bias, out, base.astype(np.float32)]
 
@@ -132,6 +191,7 @@ def train_round(docs: DataFrame, parameters: list[np.ndarray], vocab: Vocabulary
     sums whatever the input's size.
     """
     flat = np.concatenate([p.reshape(-1) for p in parameters])
+    shared = docs.sparkSession.sparkContext.broadcast(vocab)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = [p.copy() for p in parameters]
@@ -140,7 +200,7 @@ def train_round(docs: DataFrame, parameters: list[np.ndarray], vocab: Vocabulary
         for batch in batches:
             for _, data, offsets in texts_of(batch.column(0)):
                 hashes, counts = words(data, offsets)
-                classes = vocab.of_bucket[buckets(hashes, shape)]
+                classes = shared.value.of_bucket[shared.value.rows(hashes, shape)]
                 chosen = np.arange(phase, len(classes), every)
                 left.append((contexts(classes, counts, shape)[:, chosen], classes[chosen]))
                 around, target = (np.concatenate(x, axis=-1) for x in zip(*left, strict=True))
@@ -183,9 +243,9 @@ class Model:
 
     def log_probabilities(self, hashes: np.ndarray, counts: np.ndarray, piece: int = 16_384) -> np.ndarray:
         """Of each word, given the words on both sides."""
-        bucket = buckets(hashes, self.shape)
-        classes = self.vocab.of_bucket[bucket]
-        around, out = contexts(classes, counts, self.shape), self.vocab.within[bucket]
+        row = self.vocab.rows(hashes, self.shape)
+        classes = self.vocab.of_bucket[row]
+        around, out = contexts(classes, counts, self.shape), self.vocab.within[row]
         for i in range(0, len(classes), piece):
             _, z = forward(self.parameters, around[:, i : i + piece])
             right = z[np.arange(len(z)), classes[i : i + piece]].astype(np.float64)
@@ -196,11 +256,8 @@ class Model:
 def train(docs: DataFrame, *, shape: Shape = Shape(), rounds: int = 2, every: int = 1, batch_size: int = 256, rate: float = 0.05) -> Model:
     """Counts over all words, then ``rounds`` rounds of training on every word of every text (with ``every`` above 1, on one in so many)."""
     work = Workspace(docs.sparkSession, "pseudo")
-    counted = work.keep(count_buckets(docs, shape), "counts").toArrow()
-    counts = np.zeros(shape.buckets, dtype=np.int64)
-    counts[counted.column("bucket").to_numpy()] = counted.column("n").to_numpy()
-    vocab = vocabulary(counts, shape)
-    parameters = start_parameters(shape, counts, vocab)
+    vocab = count(docs, shape, work)
+    parameters = start_parameters(shape, vocab)
     for k in range(rounds):
         parameters = train_round(docs, parameters, vocab, shape, work, k, every=every, batch_size=batch_size, rate=rate)
     return Model(shape, vocab, bounded(parameters))

@@ -123,3 +123,17 @@ def test_every_word_is_a_target(spark):
 def test_few_words_train_too(spark):
     docs = spark.createDataFrame([(i, "a b c d " * 5) for i in range(3)], "doc_id long, text string").repartition(3)
     assert np.abs(pseudo.train(docs).parameters[1]).max() > 0
+
+
+def test_counts_are_those_of_real_words(spark):
+    data = [" ".join(f"w{j}" for j in range(i, 120_000, 12)) + (" seldom" if i < 2 else "") + f" once{i}" for i in range(12)]
+    docs = spark.createDataFrame([*enumerate(data + data[:6])], "doc_id long, text string")
+    vocab = pseudo.train(docs, rounds=0).vocab
+    # w-words of six texts and their six once-words stand twice, and so on; none shares its count with another.
+    assert len(vocab.hashes) == 60_000 + 6 + 1
+    rare, single, twice = vocab.rows(words(*texts(["seldom once11 w0"]))[0], pseudo.Shape())
+    assert single == len(vocab.hashes) and len({rare, single, twice}) == 3
+    share = np.exp(vocab.within) * vocab.mass[vocab.of_bucket]
+    assert np.allclose(share[[rare, single, twice]], [4, 1, 2])
+    total = np.append(share[:-1], share[-1] * 60_006)
+    assert np.isclose(total.sum(), sum(len(x.split()) for x in data + data[:6]))
