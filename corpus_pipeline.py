@@ -27,8 +27,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that an earlier line nearly equals; n_chars follows the text."""
-    cleaned = lines.drop_lines(docs, lines.duplicate_lines(docs, threshold=0.8, shingle_words=5))
+    """Documents without lines, short ones too, that an earlier line nearly equals; n_chars follows the text."""
+    cleaned = lines.drop_lines(docs, lines.duplicate_lines(docs, threshold=0.8, shingle_words=5, short=True))
     return cleaned.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))).select(*docs.columns)
 
 

@@ -17,12 +17,19 @@ def _sent(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def with_tokens(lines: DataFrame, size: int) -> DataFrame:
-    """``line`` replaced by ``t``: distinct hashes of its runs of ``size`` words, lower-cased and cut at spaces, ascending; null for shorter lines."""
+def with_tokens(lines: DataFrame, size: int, short: bool = False) -> DataFrame:
+    """``line`` replaced by ``t``: distinct hashes of its runs of ``size`` words, lower-cased and cut at spaces, ascending; null for shorter lines.
+
+    With ``short`` words are cut at any white space and a shorter line that has words has one run of them all.
+    """
     # The words are a column of their own: inside a lambda they would be cut again for every run, above a filter once more.
-    cut = lines.withColumn("w", F.filter(F.split(F.lower("line"), " "), lambda x: x != "")).drop("line")
+    cut = lines.withColumn("w", F.filter(F.split(F.lower("line"), r"(?U)\s+" if short else " "), lambda x: x != "")).drop("line")
     runs = F.transform(F.sequence(F.lit(0), F.size("w") - size), lambda i: F.xxhash64(*(F.get(F.col("w"), i + k) for k in range(size))))
-    return cut.withColumn("t", F.when(F.size("w") >= size, F.sort_array(F.array_distinct(runs)))).drop("w")
+    tokens = F.when(F.size("w") >= size, F.sort_array(F.array_distinct(runs)))
+    if short:
+        # The number of words goes in as well, so that no run of a longer line has the same hash.
+        tokens = tokens.when(F.size("w") > 0, F.array(F.xxhash64(F.size("w"), F.col("w"))))
+    return cut.withColumn("t", tokens).drop("w")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -34,11 +41,13 @@ def _prefix(n: Column, threshold: float) -> Column:
     return n - F.ceil(n * threshold - 1e-9).cast("int") + 1
 
 
-def duplicate_lines(docs: DataFrame, *, threshold: float = 0.8, shingle_words: int = 5) -> DataFrame:
+def duplicate_lines(docs: DataFrame, *, threshold: float = 0.8, shingle_words: int = 5, short: bool = False) -> DataFrame:
     """doc_id, line_no (from 0) of every line with an earlier line, by (doc_id, line_no), at ``threshold`` Jaccard or more.
 
     A line's tokens are its distinct runs of ``shingle_words`` words; lines
-    with fewer words have none and are left alone. Equal sets are merged first.
+    with fewer words have none and are left alone, as in :data:`SQL`, unless
+    ``short`` is set: then such a line has one token of all its words, and words
+    are cut at any white space. Lines without words have none. Equal sets are merged first.
     Lines that share no token of their prefixes under one fixed order with any
     other line cannot match and leave; tokens of few holders make pairs at
     once. Lines with a token of many holders are ordered by how rare their
@@ -53,7 +62,7 @@ def duplicate_lines(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
     empty table gives no rows. Other columns are not read.
     """
     work = Workspace(docs.sparkSession, "lines")
-    made = with_tokens(_lines(docs), shingle_words)
+    made = with_tokens(_lines(docs), shingle_words, short)
     made = made.select("doc_id", "line_no", F.size("t").alias("n"), F.xxhash64("t").alias("k1"), F.xxhash64(F.lit(1), F.reverse("t")).alias("k2"), F.slice("t", F.lit(1), _prefix(F.size("t"), threshold)).alias("prefix"))
     made = work.keep(made, "made").filter("n is not null")
     place = F.struct("doc_id", "line_no")
@@ -85,7 +94,7 @@ def duplicate_lines(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
     per_doc = work.keep(wanted.groupBy("doc_id").agg(F.collect_set("line_no").alias("wanted")), "wanted")
     again = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(_sent(per_doc), "doc_id").select("doc_id", "wanted", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     chosen = again.filter(F.array_contains("wanted", F.col("line_no"))).select("doc_id", "line_no", "line")
-    whole = work.keep(with_tokens(chosen, shingle_words).dropDuplicates(["doc_id", "line_no"]), "whole")
+    whole = work.keep(with_tokens(chosen, shingle_words, short).dropDuplicates(["doc_id", "line_no"]), "whole")
     work.drop("postings")
 
     token = whole.join(crowded, ["doc_id", "line_no"], "left_semi").select("doc_id", "line_no", F.size("t").alias("n"), F.explode("t").alias("token"))

@@ -53,6 +53,14 @@ def test_dropped_lines_leave_the_rest(spark):
     assert got == {1: rows[0][1], 2: "first\n\nlast", 3: "", 4: None}
 
 
+def test_short_and_tabbed_lines_go_in_the_pipeline(spark):
+    tabbed = line(7).replace(" ", "\t")
+    rows = [(1, f"Les.\nOf, edti oner.\n{tabbed}\n"), (2, f"les.\nOf,  edti\u00a0oner.\n\nalone here\n{line(7)}"), (3, "Of, edti"), (4, "Les.\n\n \nLes. "), (5, line(7) + " more")]
+    rows += [(10 + i, "Les.") for i in range(20)]
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, table(spark, rows), "").collect()}
+    assert got == {1: rows[0][1], 2: "\nalone here", 3: "Of, edti", 4: "\n ", 5: rows[4][1]} | {10 + i: "" for i in range(20)}
+
+
 def plain_contamination(text, items):
     w = words(text)
     hit, found = set(), set()
