@@ -122,16 +122,19 @@ def contamination(docs: DataFrame, items: DataFrame, *, window: int = 13, share:
 
 
 def proximity_matches(docs: DataFrame, items: DataFrame, *, terms: int = 3, span: int = 30) -> DataFrame:
-    """doc_id, item_id, first, last: the first place where the item's ``terms`` rarest distinct words stand within ``span`` words, in any order."""
+    """doc_id, item_id, first, last: every place where the item's ``terms`` rarest distinct words stand within ``span`` words, in any order.
+
+    Words that no document has are left out of account. A place begins at any occurrence of one of the words.
+    """
     work = Workspace(docs.sparkSession, "proximity")
     table = item_terms(items, docs, work)
-    rare = table.groupBy("item", "word").agg(F.min("n").alias("n")).withColumn("rank", F.row_number().over(Window.partitionBy("item").orderBy("n", "word"))).filter(F.col("rank") <= terms)
+    rare = table.filter("n > 0").groupBy("item", "word").agg(F.min("n").alias("n")).withColumn("rank", F.row_number().over(Window.partitionBy("item").orderBy("n", "word"))).filter(F.col("rank") <= terms)
     wanted = rare.withColumn("wanted", F.count("*").over(Window.partitionBy("item"))).select("item", "word", "wanted")
     listed = docs.sparkSession.read.parquet(work.uri("items")).select("item", "item_id")
     index = postings(docs, wanted.select("word").distinct()).join(_sent(wanted), "word")
     near = Window.partitionBy("doc_id", "item").orderBy("pos").rangeBetween(0, span - 1)
     met = index.withColumn("seen", F.size(F.collect_set("word").over(near))).withColumn("last", F.max("pos").over(near)).filter("seen = wanted")
-    return met.join(listed, "item").groupBy("doc_id", "item_id").agg(F.min(F.struct("pos", "last")).alias("m")).select("doc_id", "item_id", F.col("m.pos").alias("first"), F.col("m.last").alias("last"))
+    return met.join(listed, "item").select("doc_id", "item_id", F.col("pos").alias("first"), "last").distinct()
 
 
 #: The same by brute force over all windows.

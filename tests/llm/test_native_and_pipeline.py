@@ -109,6 +109,12 @@ def test_proximity(spark):
     assert [tuple(r) for r in phrases.proximity_matches(df, bench, terms=3, span=10).collect()] == [(1, 1, 0, 4)]
 
 
+def test_proximity_at_every_place_and_without_missing_words(spark):
+    bench = spark.createDataFrame([(1, "alpha beta gamma missing")], "item_id long, text string")
+    df = table(spark, [(1, "gamma x alpha x beta " + "x " * 20 + "alpha beta gamma")])
+    assert sorted(tuple(r) for r in phrases.proximity_matches(df, bench, terms=3, span=10).collect()) == [(1, 1, 0, 4), (1, 1, 25, 27)]
+
+
 def test_native_plans_hold_no_python(spark):
     df = table(spark, [(1, line(20)), (2, line(20))])
     bench = spark.createDataFrame([(1, line(20))], "item_id long, text string")
