@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -12,9 +13,11 @@ from tessera.session import make_importable
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; only where it is unset (tests, one machine) a local folder."""
+    """``spark.checkpoint.dir`` of the session; where it is unset a local folder on one machine, and an error on a cluster."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tessera-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -25,7 +28,8 @@ class Workspace:
 
     ``keep`` writes a frame as Parquet and reads it again, which cuts its
     lineage: a lost executor costs the tasks in flight, never the steps before.
-    ``drop`` deletes what is no longer read, exchange files of past steps too. The rest goes when the JVM ends.
+    The exchange files that the write needed go when it ends.
+    ``drop`` deletes what is no longer read. The rest goes when the JVM ends.
     """
 
     def __init__(self, spark: SparkSession, name: str) -> None:
@@ -42,15 +46,30 @@ class Workspace:
         return f"{self.root}/{name}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(self.uri(name))
+        cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        before = self.spark.conf.get(cleanup)
+        self.spark.conf.set(cleanup, "true")
+        try:
+            df.write.parquet(self.uri(name))
+        finally:
+            self.spark.conf.set(cleanup, before)
         return self.spark.read.schema(df.schema).parquet(self.uri(name))
 
     def drop(self, *names: str) -> None:
         for name in names:
             path, fs = self._path(self.uri(name))
             fs.delete(path, True)
-        # Spark deletes an exchange's files when the driver's collector finds it unused, which may be long after.
-        self.spark._jvm.System.gc()
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Each name with as many underscores before it as it takes to be no column of the frame."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
 
 
 def local_path(uri: str) -> str | None:

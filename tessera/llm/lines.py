@@ -2,38 +2,90 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm._work import Workspace
+from tessera.llm._work import Workspace, fresh
 
 #: Tables of at most so many rows (of a few numbers) are sent to every task instead of shuffled.
-BROADCAST_ROWS = 500_000
-#: A token that at most so many lines have in their prefixes makes no more pairs per line than this.
-FEW = 8
+BROADCAST_ROWS = 200_000
+#: Tokens are counted in so many hashed cells; a cell's count tells how rare its tokens are, whatever the input's size.
+CELLS = 1 << 18
+#: White space of one byte and of more, but for the line feed, which ends a line, and the space itself.
+_WHITE = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
+_WIDE_WHITE = "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 
 
 def _sent(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def with_tokens(lines: DataFrame, size: int, short: bool = False) -> DataFrame:
-    """``line`` replaced by ``t``: distinct hashes of its runs of ``size`` words, lower-cased and cut at spaces, ascending; null for shorter lines.
+def _white(text: Column) -> Column:
+    """All white space but line feeds as spaces. Few texts hold any other, and bytes are found far faster than patterns."""
+    holds = lambda chars: reduce(or_, (F.contains(text, F.lit(c)) for c in chars))
+    ascii_only = F.octet_length(text) == F.length(text)
+    return F.when(holds(_WHITE) | (~ascii_only & holds(_WIDE_WHITE)), F.regexp_replace(text, f"[{_WHITE}{_WIDE_WHITE}]", " ")).otherwise(text)
+
+
+def _placed(docs: DataFrame) -> DataFrame:
+    """doc (the id, rows without one last), tk (hash of the text), text."""
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("doc"), F.xxhash64("text").alias("tk"), "text")
+
+
+def _cut(text: Column) -> Column:
+    """line_no, line of every line; of a null text a row without line. The plain form of the generator would have Spark cut every text twice, once to see that it has lines."""
+    return F.posexplode_outer(F.split(_white(text), "\n")).alias("line_no", "line")
+
+
+def _words(line: str = "line") -> Column:
+    return F.array_remove(F.split(F.lower(line), " "), "")
+
+
+def _steps(size: int) -> list[int]:
+    """Runs of 1, 2, 4, ... words, as long as they fit."""
+    return [1 << k for k in range(size.bit_length())]
+
 
-    With ``short`` words are cut at any white space and a shorter line that has words has one run of them all.
+def with_tokens(lines: DataFrame, size: int) -> DataFrame:
+    """``line`` replaced by ``t``: distinct hashes of its runs of ``size`` words, lower-cased; one of all words of a shorter line; null without words.
+
+    Runs of two, four and more words are made from those of half the length, list by list, which is far cheaper than word by word.
     """
-    # The words are a column of their own: inside a lambda they would be cut again for every run, above a filter once more.
-    cut = lines.withColumn("w", F.filter(F.split(F.lower("line"), r"(?U)\s+" if short else " "), lambda x: x != "")).drop("line")
-    runs = F.transform(F.sequence(F.lit(0), F.size("w") - size), lambda i: F.xxhash64(*(F.get(F.col("w"), i + k) for k in range(size))))
-    tokens = F.when(F.size("w") >= size, F.sort_array(F.array_distinct(runs)))
-    if short:
-        # The number of words goes in as well, so that no run of a longer line has the same hash.
-        tokens = tokens.when(F.size("w") > 0, F.array(F.xxhash64(F.size("w"), F.col("w"))))
-    return cut.withColumn("t", tokens).drop("w")
+    # Words and hashes are columns of their own, so that they are made once.
+    made, columns = lines.withColumn("w", _words()).withColumn("r1", F.transform("w", lambda x: F.xxhash64(x))).drop("line", "w"), {1: "r1"}
+    pair = lambda a, b: F.xxhash64(a, b)
+
+    def part(column: str, at: int, n: int) -> Column:
+        """The runs in the column that can begin ``at`` words after the start of a run of n words."""
+        return F.slice(column, F.lit(at + 1), F.greatest(F.size("r1") - (n - 1), F.lit(0)))
+
+    for n in _steps(size)[1:]:
+        made = made.withColumn(f"r{n}", F.zip_with(part(f"r{n // 2}", 0, n), part(f"r{n // 2}", n // 2, n), pair))
+        columns[n] = f"r{n}"
+    runs, at = None, 0
+    for n in reversed([x for x in _steps(size) if size & x]):
+        piece = part(columns[n], at, size)
+        runs, at = piece if runs is None else F.zip_with(runs, piece, pair), at + n
+    # The number of words goes into a short line's token, so that no run of a longer line has the same hash.
+    short = F.when(F.size("r1") > 0, F.array(F.xxhash64(F.size("r1"), F.col("r1"))))
+    return made.withColumn("t", F.when(F.size("r1") >= size, F.array_distinct(runs)).otherwise(short)).drop(*columns.values())
+
+
+def rarity(tokens: DataFrame) -> Column:
+    """An array over all cells: eight times the binary logarithm of how many of the tokens fall into a cell, in the upper byte of a long."""
+    counted = tokens.groupBy(F.col("token").bitwiseAND(F.lit(CELLS - 1)).alias("cell")).agg(F.count("*").alias("n")).toArrow()
+    ranks = np.zeros(CELLS, dtype=np.int64)
+    ranks[counted.column("cell").to_numpy()] = np.minimum(8 * np.log2(counted.column("n").to_numpy()), 127)
+    return F.split(F.lit(",".join(map(str, (ranks << 56).tolist()))), ",").cast("array<bigint>")
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("line_no", "line")).filter("doc_id is not null")
+def ordered(tokens: Column, ranks: Column) -> Column:
+    """The tokens in one order for all lines, rare ones first; ties by hash. An element's upper byte is its rank, the others are the token's."""
+    return F.sort_array(F.transform(tokens, lambda x: F.get(ranks, x.bitwiseAND(F.lit(CELLS - 1)).cast("int")).bitwiseOR(F.shiftrightunsigned(x, 8))))
 
 
 def _prefix(n: Column, threshold: float) -> Column:
@@ -41,116 +93,121 @@ def _prefix(n: Column, threshold: float) -> Column:
     return n - F.ceil(n * threshold - 1e-9).cast("int") + 1
 
 
-def duplicate_lines(docs: DataFrame, *, threshold: float = 0.8, shingle_words: int = 5, short: bool = False) -> DataFrame:
-    """doc_id, line_no (from 0) of every line with an earlier line, by (doc_id, line_no), at ``threshold`` Jaccard or more.
-
-    A line's tokens are its distinct runs of ``shingle_words`` words; lines
-    with fewer words have none and are left alone, as in :data:`SQL`, unless
-    ``short`` is set: then such a line has one token of all its words, and words
-    are cut at any white space. Lines without words have none. Equal sets are merged first.
-    Lines that share no token of their prefixes under one fixed order with any
-    other line cannot match and leave; tokens of few holders make pairs at
-    once. Lines with a token of many holders are ordered by how rare their
-    tokens are among them, and prefix, position and length filters leave the
-    pairs whose sets are compared. Each line is first tried against the
-    earliest holder of its prefix tokens; only lines that this does not decide
-    are tried against all earlier ones, so a crowd of copies makes some pairs
-    per line, not all.
-
-    Null text has no lines, a null doc_id is left alone; rows that repeat a
-    doc_id are one place, and lines at one place do not remove each other. An
-    empty table gives no rows. Other columns are not read.
+def duplicate_lines(docs: DataFrame, *, threshold: float = 0.8, shingle_words: int = 5) -> DataFrame:
+    """doc_id, text_key (xxhash64 of the text), line_no (from 0) of every line with an earlier line at ``threshold`` Jaccard or more.
+
+    Earlier means by (doc_id, line_no). A line's tokens are its distinct runs of
+    ``shingle_words`` words, cut at any white space; a shorter line has one
+    token of all its words; a line without words has none and stays. Equal sets
+    are merged first. Lines whose prefixes under one fixed order share no token
+    cannot match and leave; a token that two lines share makes their pair where
+    it is counted. Lines with a token of more holders are ordered from rare
+    tokens to common ones among all of them, and meet only in the prefixes of
+    that order: each is first tried against the earliest holder of its tokens,
+    and only those that this does not decide against all earlier holders, so a
+    crowd of copies makes some pairs per line, not all. Length and position
+    filters come before any pair is compared.
+
+    Null text has no lines. Rows without a doc_id come after all others. Rows
+    that repeat a doc_id with the same text are one document; rows that repeat
+    it with another text are others, ordered by the text's hash. An empty table
+    gives no rows. Other columns are not read.
     """
     work = Workspace(docs.sparkSession, "lines")
-    made = with_tokens(_lines(docs), shingle_words, short)
-    made = made.select("doc_id", "line_no", F.size("t").alias("n"), F.xxhash64("t").alias("k1"), F.xxhash64(F.lit(1), F.reverse("t")).alias("k2"), F.slice("t", F.lit(1), _prefix(F.size("t"), threshold)).alias("prefix"))
-    made = work.keep(made, "made").filter("n is not null")
-    place = F.struct("doc_id", "line_no")
-    sets = made.groupBy("k1", "k2", "n").agg(F.min(place).alias("at"), F.count("*").alias("times"), F.first("prefix").alias("prefix"))
-    sets = work.keep(sets.select("at.doc_id", "at.line_no", "n", "k1", "k2", "times", "prefix"), "sets")
-    repeated = made.select("doc_id", "line_no", "n", "k1", "k2").join(_sent(sets.filter("times > 1").select("k1", "k2", "n", F.col("doc_id").alias("d"), F.col("line_no").alias("l"))), ["k1", "k2", "n"])
-    repeated = work.keep(repeated.filter((F.col("doc_id") != F.col("d")) | (F.col("line_no") != F.col("l"))).select("doc_id", "line_no"), "repeated")
+    placed = _placed(docs)
+    # Lines without tokens leave after the write: a filter here would have Spark cut every line once more.
+    made = with_tokens(placed.select("doc", "tk", _cut(F.col("text"))), shingle_words).withColumn("t", F.sort_array("t"))
+    made = made.select("doc", "tk", "line_no", F.size("t").alias("n"), F.xxhash64("t").alias("k1"), F.xxhash64(F.lit(1), F.reverse("t")).alias("k2"), F.slice("t", F.lit(1), _prefix(F.size("t"), threshold)).alias("prefix"))
+    made = work.keep(made, "made").filter("n > 0")
+    sets = made.groupBy("k1", "k2", "n").agg(F.min(F.struct("doc", "tk", "line_no")).alias("at"), F.count("*").alias("times"), F.first("prefix").alias("prefix"))
+    sets = work.keep(sets.select("at.*", "n", "k1", "k2", "times", "prefix").withColumn("id", F.monotonically_increasing_id()), "sets")
+    firsts = sets.filter("times > 1").select("k1", "k2", "n", F.struct("doc", "tk", "line_no").alias("at"))
+    repeated = made.select("doc", "tk", "line_no", "n", "k1", "k2").join(_sent(firsts), ["k1", "k2", "n"]).filter(F.struct("doc", "tk", "line_no") != F.col("at"))
+    repeated = work.keep(repeated.select("doc", "tk", "line_no"), "repeated")
     work.drop("made")
 
-    posted = sets.select("doc_id", "line_no", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = work.keep(posted.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1"), "shared")
-    postings = work.keep(posted.join(_sent(shared), "token"), "postings")
-    work.drop("sets", "shared")
-
-    def candidates(late: DataFrame, early: DataFrame) -> DataFrame:
-        other = early.select("token", F.col("doc_id").alias("d"), F.col("line_no").alias("l"), F.col("n").alias("m"), F.col("pos").alias("p"))
-        earlier = (F.col("d") < F.col("doc_id")) | ((F.col("d") == F.col("doc_id")) & (F.col("l") < F.col("line_no")))
-        length = F.least("n", "m") >= threshold * F.greatest("n", "m") - 1e-9
-        needed = (F.col("n") + F.col("m")) * (threshold / (1 + threshold)) - 1e-9
-        position = F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("p")) >= needed
-        return late.join(other, "token").filter(earlier & length & position).select("doc_id", "line_no", "d", "l").distinct()
-
-    # Pairs that share a token of few holders are tried as they are; lines with a token of many are ordered anew.
-    few = postings.filter(F.col("c") <= FEW)
-    direct = work.keep(candidates(few, few), "direct")
-    crowded = postings.filter(F.col("c") > FEW).select("doc_id", "line_no").distinct()
-    crowded = work.keep(crowded, "crowded")
-    wanted = direct.select("doc_id", "line_no").unionByName(direct.select(F.col("d").alias("doc_id"), F.col("l").alias("line_no"))).unionByName(crowded).distinct()
-    per_doc = work.keep(wanted.groupBy("doc_id").agg(F.collect_set("line_no").alias("wanted")), "wanted")
-    again = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(_sent(per_doc), "doc_id").select("doc_id", "wanted", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    chosen = again.filter(F.array_contains("wanted", F.col("line_no"))).select("doc_id", "line_no", "line")
-    whole = work.keep(with_tokens(chosen, shingle_words, short).dropDuplicates(["doc_id", "line_no"]), "whole")
-    work.drop("postings")
-
-    token = whole.join(crowded, ["doc_id", "line_no"], "left_semi").select("doc_id", "line_no", F.size("t").alias("n"), F.explode("t").alias("token"))
-    token = work.keep(token, "token")
-    rarity = token.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1")
-    common = token.join(rarity, "token").groupBy("doc_id", "line_no", "n").agg(F.sort_array(F.collect_list(F.struct("c", "token"))).alias("common"))
-    # Tokens that one line alone has come first in its order: a prefix made of them alone has no partner.
-    alone = F.col("n") - F.size("common")
-    kept = common.withColumn("alone", alone).withColumn("head", _prefix(F.col("n"), threshold) - F.col("alone")).filter("head > 0")
-    entries = kept.select("doc_id", "line_no", "n", "alone", F.posexplode(F.slice("common", F.lit(1), F.col("head"))).alias("i", "e"))
-    entries = work.keep(entries.select("doc_id", "line_no", "n", (F.col("alone") + F.col("i")).alias("pos"), F.col("e.token").alias("token")), "entries")
-    work.drop("token")
+    def alike(n: Column, m: Column, left: Column) -> Column:
+        """Whether lengths n and m, and ``left`` tokens that neither has passed yet, still allow the threshold."""
+        return (F.least(n, m) >= threshold * F.greatest(n, m) - 1e-9) & (left >= (n + m) * (threshold / (1 + threshold)) - 1e-9)
+
+    posted = sets.select("id", "n", F.posexplode("prefix").alias("pos", "token"))
+    ends = [F.min("id").alias("a"), F.max("id").alias("b"), F.min("n").alias("n"), F.max("n").alias("m"), F.min(F.col("n") - F.col("pos")).alias("left")]
+    shared = work.keep(posted.groupBy("token").agg(F.count("*").alias("c"), *ends).filter("c > 1"), "shared")
+    twos = shared.filter((F.col("c") == 2) & alike(F.col("n"), F.col("m"), F.col("left"))).select("a", "b").distinct()
+    twos = work.keep(twos, "twos")
+    crowd = work.keep(posted.select("id", "token").join(_sent(shared.filter("c > 2").select("token")), "token").select("id").distinct(), "crowd")
+
+    # The lines that may match are cut again, and only they.
+    ids = twos.select(F.col("a").alias("id")).unionByName(twos.select(F.col("b").alias("id"))).unionByName(crowd).distinct()
+    wanted = sets.select("id", "doc", "tk", "line_no").join(ids, "id").groupBy("doc", "tk").agg(F.map_from_entries(F.collect_list(F.struct("line_no", "id"))).alias("ids"))
+    wanted = work.keep(wanted, "wanted")
+    texts = placed.join(_sent(wanted), ["doc", "tk"]).select("doc", "tk", "ids", _cut(F.col("text")))
+    chosen = texts.select(F.col("ids")[F.col("line_no")].alias("id"), "doc", "tk", "line_no", "line").filter("id is not null")
+    place = F.struct("doc", "tk", "line_no")
+    # Repeated rows make a line more than once.
+    whole = work.keep(with_tokens(chosen, shingle_words).groupBy("id").agg(F.first(place).alias("at"), F.first("t").alias("t")), "whole")
+
+    crowded = whole.join(crowd, "id", "left_semi")
+    ranks = rarity(crowded.select(F.explode("t").alias("token")))
+    crowded = crowded.select("id", "at", F.size("t").alias("n"), ordered(F.col("t"), ranks).alias("t"))
+    entries = crowded.select("id", "at", "n", F.posexplode(F.slice("t", F.lit(1), _prefix(F.col("n"), threshold))).alias("pos", "token"))
+    entries = work.keep(entries, "entries")
+    heads = entries.groupBy("token").agg(F.count("*").alias("c"), F.min(F.struct("at", "id", "n", "pos")).alias("h")).filter("c > 1").select("token", "h")
+    entries = work.keep(entries.join(heads, "token"), "held")
+    tried = entries.filter((F.col("id") != F.col("h.id")) & alike(F.col("n"), F.col("h.n"), F.least(F.col("n") - F.col("pos"), F.col("h.n") - F.col("h.pos"))))
+    tried = tried.select(F.least("id", "h.id").alias("a"), F.greatest("id", "h.id").alias("b")).unionByName(twos).distinct()
+    tried = work.keep(tried, "tried")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """doc_id, line_no of pairs whose sets reach the threshold."""
-        left = whole.select("doc_id", "line_no", "t")
-        right = whole.select(F.col("doc_id").alias("d"), F.col("line_no").alias("l"), F.col("t").alias("u"))
-        both = F.size(F.array_intersect("t", "u"))
-        joined = pairs.join(left, ["doc_id", "line_no"]).join(right, ["d", "l"])
-        return joined.filter(both >= threshold * (F.size("t") + F.size("u") - both) - 1e-9).select("doc_id", "line_no").distinct()
-
-    heads = entries.groupBy("token").agg(F.min(F.struct("doc_id", "line_no", "n", "pos")).alias("h")).select("token", "h.*")
-    first = work.keep(candidates(entries, heads).unionByName(direct).distinct(), "first")
-    decided = work.keep(verified(first), "decided")
-    undecided = entries.join(decided, ["doc_id", "line_no"], "left_anti")
-    rest = candidates(undecided, entries).join(first, ["doc_id", "line_no", "d", "l"], "left_anti")
-    more = work.keep(verified(rest), "more")
-    out = work.keep(repeated.unionByName(decided).unionByName(more).distinct(), "out")
-    work.drop("whole", "entries", "first", "direct", "crowded", "wanted")
+        """id of the later line of each pair whose sets reach the threshold."""
+        left = whole.select(F.col("id").alias("a"), F.col("at").alias("x_at"), F.col("t").alias("x"))
+        right = whole.select(F.col("id").alias("b"), F.col("at").alias("y_at"), F.col("t").alias("y"))
+        both = F.size(F.array_intersect("x", "y"))
+        joined = pairs.join(left, "a").join(right, "b").filter(both >= threshold * (F.size("x") + F.size("y") - both) - 1e-9)
+        return joined.select(F.when(F.col("x_at") > F.col("y_at"), F.col("a")).otherwise(F.col("b")).alias("id")).distinct()
+
+    decided = work.keep(verified(tried), "decided")
+    other = entries.select("token", F.col("id").alias("e"), F.col("at").alias("early"), F.col("n").alias("m"), F.col("pos").alias("p"))
+    rest = entries.join(decided, "id", "left_anti").join(other, "token").filter((F.col("early") < F.col("at")) & alike(F.col("n"), F.col("m"), F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("p"))))
+    rest = rest.select(F.least("id", "e").alias("a"), F.greatest("id", "e").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    decided = work.keep(decided.unionByName(verified(rest)).distinct(), "all-decided")
+    out = repeated.unionByName(sets.join(decided, "id", "left_semi").select("doc", "tk", "line_no")).distinct()
+    out = work.keep(out.select(F.when(F.col("doc") != 2**63 - 1, F.col("doc")).alias("doc_id"), F.col("tk").alias("text_key"), "line_no"), "out")
+    work.drop("sets", "repeated", "shared", "twos", "crowd", "wanted", "whole", "entries", "held", "tried", "decided", "all-decided")
     return out
 
 
 def line_report(docs: DataFrame, duplicates: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_lines, n_removed, removed (line numbers from 0, ascending, comma-joined)."""
-    per_doc = duplicates.groupBy(F.col("doc_id").alias("d")).agg(F.sort_array(F.collect_set("line_no")).alias("lines"))
-    counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
-    counted = counted.withColumn("n_lines", F.greatest("n_lines", F.lit(0).cast("long")))
-    joined = counted.join(per_doc, F.col("doc_id") == F.col("d"), "left")
-    none = F.array().cast("array<int>")
-    return joined.select("doc_id", "n_lines", F.coalesce(F.size(F.coalesce("lines", none)), F.lit(0)).cast("long").alias("n_removed"), F.concat_ws(",", F.coalesce("lines", none).cast("array<string>")).alias("removed"))
+    """One row per row of ``docs``: doc_id, n_lines, n_removed, removed (line numbers from 0, ascending, comma-joined).
+
+    Null text has no lines; repeated rows each have their report; an empty table gives no rows.
+    """
+    per_doc = duplicates.groupBy(F.col("doc_id").alias("d"), "text_key").agg(F.sort_array(F.collect_set("line_no")).alias("lines"))
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1)
+    counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tk"), n_lines.cast("long").alias("n_lines"))
+    joined = counted.join(per_doc, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tk") == F.col("text_key")), "left")
+    lines = F.coalesce("lines", F.array().cast("array<int>"))
+    return joined.select("doc_id", "n_lines", F.size(lines).cast("long").alias("n_removed"), F.concat_ws(",", lines.cast("array<string>")).alias("removed"))
 
 
 def drop_lines(docs: DataFrame, duplicates: DataFrame) -> DataFrame:
-    """``docs`` without the duplicate lines, all columns kept; a document of nothing else keeps an empty text."""
-    per_doc = duplicates.groupBy(F.col("doc_id").alias("_dropped_doc")).agg(F.collect_set("line_no").alias("_dropped"))
-    joined = docs.join(per_doc, F.col("doc_id").cast("long") == F.col("_dropped_doc"), "left")
-    kept = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.when(~F.array_contains("_dropped", i), x)), lambda x: x.isNotNull())
-    text = F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return joined.withColumn("text", text).drop("_dropped_doc", "_dropped")
+    """``docs`` without the duplicate lines, all columns kept, whatever their names; a document of nothing else keeps an empty text.
+
+    Rows without duplicate lines, null texts too, stay as they are; repeated rows each lose their lines.
+    """
+    doc, key, gone = fresh(docs, "doc", "key", "gone")
+    per_doc = duplicates.groupBy(F.col("doc_id").alias(doc), F.col("text_key").alias(key)).agg(F.collect_set("line_no").alias(gone))
+    joined = docs.join(_sent(per_doc), F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & (F.xxhash64("text") == F.col(key)), "left")
+    kept = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.when(~F.array_contains(gone, i), x)), lambda x: x.isNotNull())
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    return joined.withColumn("text", text).select(*docs.columns)
 
 
 #: The same by comparing every pair of lines that share a token.
 SQL = r"""
-with l as (select doc_id, i - 1 as line_no, list_filter(string_split(lower(x), ' '), lambda w: w <> '') as w
+with l as (select doc_id, i - 1 as line_no, list_filter(string_split(regexp_replace(lower(x), '[\x09\x0B-\x0D\x1C-\x1F\x{85}\p{Z}]', ' ', 'g'), ' '), lambda w: w <> '') as w
            from documents, unnest(string_split(text, chr(10))) with ordinality t(x, i) where doc_id is not null and text is not null),
-s as (select distinct doc_id, line_no, array_to_string(w[j:j + 4], ' ') as token from l, unnest(range(1, len(w) - 3)) t(j) where len(w) >= 5),
+s as (select distinct doc_id, line_no, array_to_string(w[j:j + 4], ' ') as token from l, unnest(range(1, greatest(len(w) - 4, 1) + 1)) t(j) where len(w) > 0),
 n as (select doc_id, line_no, count(*) as n from s group by all),
 p as (select a.doc_id, a.line_no, b.doc_id as d, b.line_no as l, count(*) as both from s a join s b using (token)
       where b.doc_id < a.doc_id or (b.doc_id = a.doc_id and b.line_no < a.line_no) group by all),

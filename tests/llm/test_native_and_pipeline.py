@@ -17,12 +17,12 @@ def table(spark, rows):
 
 
 def tokens(line):
-    w = [x for x in line.lower().split(" ") if x]
-    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    w = line.lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
 
 
 def plain_duplicates(rows, threshold=0.8):
-    placed = sorted((k, i, frozenset(tokens(x))) for k, t in rows if t is not None and k is not None for i, x in enumerate(t.split("\n")))
+    placed = sorted((k, i, frozenset(tokens(x))) for k, t in rows if t is not None for i, x in enumerate(t.split("\n")))
     placed = [p for p in placed if p[2]]
     out = set()
     for j, (k, i, s) in enumerate(placed):
