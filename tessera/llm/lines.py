@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,12 +9,11 @@ from pyspark.sql import functions as F
 from tessera.llm._work import Workspace, fresh
 
 #: Tables of at most so many rows (of a few numbers) are sent to every task instead of shuffled.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 500_000
 #: Tokens are counted in so many hashed cells; a cell's count tells how rare its tokens are, whatever the input's size.
 CELLS = 1 << 18
-#: White space of one byte and of more, but for the line feed, which ends a line, and the space itself.
-_WHITE = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
-_WIDE_WHITE = "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+#: White space but for the line feed, which ends a line, and the space itself.
+_WHITE = r"[\x09\x0B-\x0D\x1C-\x1F\x85\p{Z}&&[^ ]]"
 
 
 def _sent(df: DataFrame) -> DataFrame:
@@ -25,10 +21,8 @@ def _sent(df: DataFrame) -> DataFrame:
 
 
 def _white(text: Column) -> Column:
-    """All white space but line feeds as spaces. Few texts hold any other, and bytes are found far faster than patterns."""
-    holds = lambda chars: reduce(or_, (F.contains(text, F.lit(c)) for c in chars))
-    ascii_only = F.octet_length(text) == F.length(text)
-    return F.when(holds(_WHITE) | (~ascii_only & holds(_WIDE_WHITE)), F.regexp_replace(text, f"[{_WHITE}{_WIDE_WHITE}]", " ")).otherwise(text)
+    """All white space but line feeds as spaces; few texts hold any other."""
+    return F.when(text.rlike(_WHITE), F.regexp_replace(text, _WHITE, " ")).otherwise(text)
 
 
 def _placed(docs: DataFrame) -> DataFrame:
@@ -45,34 +39,14 @@ def _words(line: str = "line") -> Column:
     return F.array_remove(F.split(F.lower(line), " "), "")
 
 
-def _steps(size: int) -> list[int]:
-    """Runs of 1, 2, 4, ... words, as long as they fit."""
-    return [1 << k for k in range(size.bit_length())]
-
-
 def with_tokens(lines: DataFrame, size: int) -> DataFrame:
-    """``line`` replaced by ``t``: distinct hashes of its runs of ``size`` words, lower-cased; one of all words of a shorter line; null without words.
-
-    Runs of two, four and more words are made from those of half the length, list by list, which is far cheaper than word by word.
-    """
-    # Words and hashes are columns of their own, so that they are made once.
-    made, columns = lines.withColumn("w", _words()).withColumn("r1", F.transform("w", lambda x: F.xxhash64(x))).drop("line", "w"), {1: "r1"}
-    pair = lambda a, b: F.xxhash64(a, b)
-
-    def part(column: str, at: int, n: int) -> Column:
-        """The runs in the column that can begin ``at`` words after the start of a run of n words."""
-        return F.slice(column, F.lit(at + 1), F.greatest(F.size("r1") - (n - 1), F.lit(0)))
-
-    for n in _steps(size)[1:]:
-        made = made.withColumn(f"r{n}", F.zip_with(part(f"r{n // 2}", 0, n), part(f"r{n // 2}", n // 2, n), pair))
-        columns[n] = f"r{n}"
-    runs, at = None, 0
-    for n in reversed([x for x in _steps(size) if size & x]):
-        piece = part(columns[n], at, size)
-        runs, at = piece if runs is None else F.zip_with(runs, piece, pair), at + n
+    """``line`` replaced by ``t``: distinct hashes of its runs of ``size`` words, lower-cased, ascending; one of all words of a shorter line; null without words."""
+    # The words are a column of their own: inside a lambda they would be cut again for every run, above a filter once more.
+    cut = lines.withColumn("w", _words()).drop("line")
+    runs = F.transform(F.sequence(F.lit(0), F.size("w") - size), lambda i: F.xxhash64(*(F.get(F.col("w"), i + k) for k in range(size))))
     # The number of words goes into a short line's token, so that no run of a longer line has the same hash.
-    short = F.when(F.size("r1") > 0, F.array(F.xxhash64(F.size("r1"), F.col("r1"))))
-    return made.withColumn("t", F.when(F.size("r1") >= size, F.array_distinct(runs)).otherwise(short)).drop(*columns.values())
+    tokens = F.when(F.size("w") >= size, F.sort_array(F.array_distinct(runs))).when(F.size("w") > 0, F.array(F.xxhash64(F.size("w"), F.col("w"))))
+    return cut.withColumn("t", tokens).drop("w")
 
 
 def rarity(tokens: DataFrame) -> Column:
@@ -99,7 +73,7 @@ def duplicate_lines(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
     Earlier means by (doc_id, line_no). A line's tokens are its distinct runs of
     ``shingle_words`` words, cut at any white space; a shorter line has one
     token of all its words; a line without words has none and stays. Equal sets
-    are merged first. Lines whose prefixes under one fixed order share no token
+    are taken as one. Lines whose prefixes under one fixed order share no token
     cannot match and leave; a token that two lines share makes their pair where
     it is counted. Lines with a token of more holders are ordered from rare
     tokens to common ones among all of them, and meet only in the prefixes of
@@ -115,39 +89,44 @@ def duplicate_lines(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
     """
     work = Workspace(docs.sparkSession, "lines")
     placed = _placed(docs)
+    place = F.struct("doc", "tk", "line_no")
     # Lines without tokens leave after the write: a filter here would have Spark cut every line once more.
-    made = with_tokens(placed.select("doc", "tk", _cut(F.col("text"))), shingle_words).withColumn("t", F.sort_array("t"))
+    made = with_tokens(placed.select("doc", "tk", _cut(F.col("text"))), shingle_words)
     made = made.select("doc", "tk", "line_no", F.size("t").alias("n"), F.xxhash64("t").alias("k1"), F.xxhash64(F.lit(1), F.reverse("t")).alias("k2"), F.slice("t", F.lit(1), _prefix(F.size("t"), threshold)).alias("prefix"))
     made = work.keep(made, "made").filter("n > 0")
-    sets = made.groupBy("k1", "k2", "n").agg(F.min(F.struct("doc", "tk", "line_no")).alias("at"), F.count("*").alias("times"), F.first("prefix").alias("prefix"))
-    sets = work.keep(sets.select("at.*", "n", "k1", "k2", "times", "prefix").withColumn("id", F.monotonically_increasing_id()), "sets")
-    firsts = sets.filter("times > 1").select("k1", "k2", "n", F.struct("doc", "tk", "line_no").alias("at"))
-    repeated = made.select("doc", "tk", "line_no", "n", "k1", "k2").join(_sent(firsts), ["k1", "k2", "n"]).filter(F.struct("doc", "tk", "line_no") != F.col("at"))
-    repeated = work.keep(repeated.select("doc", "tk", "line_no"), "repeated")
-    work.drop("made")
+    own = made.select("doc", "tk", "line_no", "k1", "k2")
+    again = own.groupBy("k1", "k2").agg(F.count("*").alias("times")).filter("times > 1").select("k1", "k2")
+    equal = work.keep(own.join(_sent(work.keep(again, "again")), ["k1", "k2"]), "equal")
+    firsts = equal.groupBy("k1", "k2").agg(F.min(place).alias("at"))
+    repeated = work.keep(equal.join(firsts, ["k1", "k2"]).filter(place != F.col("at")).select("doc", "tk", "line_no"), "repeated")
 
     def alike(n: Column, m: Column, left: Column) -> Column:
         """Whether lengths n and m, and ``left`` tokens that neither has passed yet, still allow the threshold."""
         return (F.least(n, m) >= threshold * F.greatest(n, m) - 1e-9) & (left >= (n + m) * (threshold / (1 + threshold)) - 1e-9)
 
-    posted = sets.select("id", "n", F.posexplode("prefix").alias("pos", "token"))
-    ends = [F.min("id").alias("a"), F.max("id").alias("b"), F.min("n").alias("n"), F.max("n").alias("m"), F.min(F.col("n") - F.col("pos")).alias("left")]
-    shared = work.keep(posted.groupBy("token").agg(F.count("*").alias("c"), *ends).filter("c > 1"), "shared")
-    twos = shared.filter((F.col("c") == 2) & alike(F.col("n"), F.col("m"), F.col("left"))).select("a", "b").distinct()
-    twos = work.keep(twos, "twos")
-    crowd = work.keep(posted.select("id", "token").join(_sent(shared.filter("c > 2").select("token")), "token").select("id").distinct(), "crowd")
-
-    # The lines that may match are cut again, and only they.
-    ids = twos.select(F.col("a").alias("id")).unionByName(twos.select(F.col("b").alias("id"))).unionByName(crowd).distinct()
-    wanted = sets.select("id", "doc", "tk", "line_no").join(ids, "id").groupBy("doc", "tk").agg(F.map_from_entries(F.collect_list(F.struct("line_no", "id"))).alias("ids"))
-    wanted = work.keep(wanted, "wanted")
+    # Sets go by k1 here; should two of them share it, both are read below, and k2 tells them apart.
+    posted = made.select("k1", F.explode("prefix").alias("token"))
+    shared = work.keep(posted.groupBy("token").agg(F.count("*").alias("c"), F.min("k1").alias("a"), F.max("k1").alias("b")).filter("a < b"), "shared")
+    twos = work.keep(shared.filter("c = 2").select("a", "b").distinct(), "twos")
+    crowd = work.keep(posted.join(_sent(shared.filter("c > 2").select("token")), "token").select("k1").distinct().withColumn("crowd", F.lit(True)), "crowd")
+
+    # The lines that may match are cut again, and only they; of equal ones the first.
+    ends = twos.select(F.col("a").alias("k1")).unionByName(twos.select(F.col("b").alias("k1"))).distinct()
+    chosen = crowd.join(ends, "k1", "full").select("k1", F.coalesce("crowd", F.lit(False)).alias("crowd"))
+    chosen = own.join(_sent(work.keep(chosen, "chosen")), "k1").groupBy("k1", "k2", "crowd").agg(F.min(place).alias("at"))
+    chosen = work.keep(chosen.select("k1", "crowd", "at.*").withColumn("id", F.monotonically_increasing_id()), "sets")
+    listed = F.map_from_entries(F.collect_list(F.struct("line_no", F.struct("id", "k1", "crowd"))))
+    wanted = work.keep(chosen.groupBy("doc", "tk").agg(listed.alias("ids")), "wanted")
     texts = placed.join(_sent(wanted), ["doc", "tk"]).select("doc", "tk", "ids", _cut(F.col("text")))
-    chosen = texts.select(F.col("ids")[F.col("line_no")].alias("id"), "doc", "tk", "line_no", "line").filter("id is not null")
-    place = F.struct("doc", "tk", "line_no")
+    texts = texts.select(F.col("ids")[F.col("line_no")].alias("of"), "doc", "tk", "line_no", "line").filter("of is not null")
     # Repeated rows make a line more than once.
-    whole = work.keep(with_tokens(chosen, shingle_words).groupBy("id").agg(F.first(place).alias("at"), F.first("t").alias("t")), "whole")
+    whole = with_tokens(texts, shingle_words).groupBy("of.id").agg(F.first("of").alias("of"), F.first(place).alias("at"), F.first("t").alias("t"))
+    whole = work.keep(whole.select("of.*", "at", "t"), "whole")
+    key = whole.select("k1", "id")
+    twos = twos.join(key.select(F.col("k1").alias("a"), F.col("id").alias("x")), "a").join(key.select(F.col("k1").alias("b"), F.col("id").alias("y")), "b")
+    twos = twos.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
-    crowded = whole.join(crowd, "id", "left_semi")
+    crowded = whole.filter("crowd")
     ranks = rarity(crowded.select(F.explode("t").alias("token")))
     crowded = crowded.select("id", "at", F.size("t").alias("n"), ordered(F.col("t"), ranks).alias("t"))
     entries = crowded.select("id", "at", "n", F.posexplode(F.slice("t", F.lit(1), _prefix(F.col("n"), threshold))).alias("pos", "token"))
@@ -171,9 +150,9 @@ def duplicate_lines(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
     rest = entries.join(decided, "id", "left_anti").join(other, "token").filter((F.col("early") < F.col("at")) & alike(F.col("n"), F.col("m"), F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("p"))))
     rest = rest.select(F.least("id", "e").alias("a"), F.greatest("id", "e").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     decided = work.keep(decided.unionByName(verified(rest)).distinct(), "all-decided")
-    out = repeated.unionByName(sets.join(decided, "id", "left_semi").select("doc", "tk", "line_no")).distinct()
+    out = repeated.unionByName(chosen.join(decided, "id", "left_semi").select("doc", "tk", "line_no")).distinct()
     out = work.keep(out.select(F.when(F.col("doc") != 2**63 - 1, F.col("doc")).alias("doc_id"), F.col("tk").alias("text_key"), "line_no"), "out")
-    work.drop("sets", "repeated", "shared", "twos", "crowd", "wanted", "whole", "entries", "held", "tried", "decided", "all-decided")
+    work.drop("made", "again", "equal", "repeated", "sets", "chosen", "shared", "twos", "crowd", "wanted", "whole", "entries", "held", "tried", "decided", "all-decided")
     return out
 
 
