@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm._words import constants, mix, shingles, texts_of, words
@@ -15,6 +15,8 @@ from tessera.llm._work import Workspace
 from tessera.llm.components import connected_components
 
 _U = np.uint64
+#: Tables of at most so many rows (of a few numbers) are sent to every task instead of shuffled.
+BROADCAST_ROWS = 500_000
 #: Chance that a cell of area 1 holds at most 0, 1, 2, ... darts.
 _POISSON = np.cumsum(np.exp(-1.0) / np.cumprod([1.0, *range(1, 18)]))
 
@@ -118,34 +120,35 @@ def set_keys(elements: np.ndarray, weights: np.ndarray, counts: np.ndarray, salt
 
 
 def sign(docs: DataFrame, *, shingle_words: int, weighting: str, banding: Banding) -> DataFrame:
-    """doc_id, key1 and key2 (equal for equal sets; null without words), size, bands."""
+    """doc_id, text_key (xxhash64 of the text), key1 and key2 (equal for equal sets; null without words), size, bands."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            for first, elements, weights, counts in shingle_sets(batch.column(1), shingle_words, weighting):
+            for first, elements, weights, counts in shingle_sets(batch.column(2), shingle_words, weighting):
                 bands = band_hashes(dart_signatures(elements, weights, counts, banding.coordinates), banding)
                 keys = [pa.array(set_keys(elements, weights, counts, salt), mask=counts == 0) for salt in (7, 8)]
                 sizes = np.bincount(np.repeat(np.arange(len(counts)), counts), weights, len(counts)).astype(np.int64)
                 flat = pa.array(np.ascontiguousarray(bands).reshape(-1).view(np.int64))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1, dtype=np.int32) * banding.bands), flat)
-                ids = batch.column(0).slice(first, len(counts))
-                yield pa.RecordBatch.from_arrays([ids, *keys, pa.array(sizes), lists], names=["doc_id", "key1", "key2", "size", "bands"])
+                ids = [batch.column(i).slice(first, len(counts)) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*ids, *keys, pa.array(sizes), lists], names=["doc_id", "text_key", "key1", "key2", "size", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, key1 long, key2 long, size long, bands array<long>")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+    return texts.mapInArrow(run, "doc_id long, text_key long, key1 long, key2 long, size long, bands array<long>")
 
 
 def member_sets(texts: DataFrame, *, shingle_words: int, weighting: str) -> DataFrame:
-    """doc_id, members of the texts (doc_id, text, key1) whose set has that key: the sets themselves, for exact similarities."""
+    """node, members of the texts (node, text): the sets themselves, for exact similarities."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             for first, elements, weights, counts in shingle_sets(batch.column(1), shingle_words, weighting):
-                ids, wanted = (batch.column(i).slice(first, len(counts)).to_numpy() for i in (0, 2))
-                ends, own = np.cumsum(counts), np.flatnonzero(set_keys(elements, weights, counts, 7) == wanted)
-                sets = [_members(elements[ends[i] - counts[i] : ends[i]], weights[ends[i] - counts[i] : ends[i]]).view(np.int64) for i in own]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[own]), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "members"])
+                ends = np.cumsum(counts)
+                sets = [_members(elements[b - n : b], weights[b - n : b]).view(np.int64) for b, n in zip(ends, counts, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(counts)), pa.array(sets, pa.list_(pa.int64()))], names=["node", "members"])
 
-    return texts.select("doc_id", "text", "key1").mapInArrow(run, "doc_id long, members array<long>")
+    # Rows that repeat an id and a text make a set more than once.
+    return texts.select("node", "text").mapInArrow(run, "node long, members array<long>").groupBy("node").agg(F.first("members").alias("members"))
 
 
 def near_classes(links: DataFrame) -> DataFrame:
@@ -159,87 +162,119 @@ def near_classes(links: DataFrame) -> DataFrame:
     return label.select(F.col("a").alias("node"), "class")
 
 
-def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, shingle_words: int = 5, weighting: str = "set", banding: Banding = Banding()) -> DataFrame:
-    """One row per document: doc_id, component_id (smallest id it is linked to over any path), kept (that is its own).
+def _sent(df: DataFrame) -> DataFrame:
+    """Broadcast if it is small enough, by count; else left to a shuffled join."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, shingle_words: int = 5, weighting: str = "count", banding: Banding = Banding()) -> DataFrame:
+    """One row per document: doc_id, component_id (smallest id it is linked to over any path), kept (that is its own), text_key (xxhash64 of the text).
 
     Two texts are linked if they share a band of their signatures and their
-    shingle sets have a Jaccard similarity of ``threshold`` or more, which is
+    shingles have a Jaccard similarity of ``threshold`` or more, which is
     computed exactly. ``weighting="count"`` weighs a shingle by how often it
     stands in the text; "set" weighs all alike.
 
-    Equal sets are merged before any pairing. In turns, the members of each
-    bucket are held against its likeliest centres that were none before (2, 4,
-    8 and so on); what that links becomes one class, and only members of
-    different classes are paired after that. When no more pairs are left than
-    all buckets have members, all of them are tried. So a crowd of copies makes
-    some pairs per member, not all, and no link between classes is lost.
+    Equal sets are merged before any pairing. A bucket of two is a pair; in a
+    larger one every member is first held against its likeliest centre, and
+    what that links becomes one class. Then only members of different classes
+    are paired, and of these only pairs whose elements that no other member
+    holds still allow the threshold: a near miss of a crowd differs from all of
+    it by its own edits, so it leaves here uncompared. While more pairs are left
+    than a few for each member, members are held against 2, 4, 8 and so on
+    further centres of their buckets, which merges classes; at last all that are
+    left are compared. So no link between classes is lost.
 
     Null, empty and wordless texts link with nothing. Rows that repeat a doc_id
     with the same text are one document with one fate, those with another text
-    take that text's component; a null doc_id gives a null component and is
-    kept. An empty table gives no rows. Other columns are not read.
+    take that text's component. Rows without an id take part; their component
+    is the smallest id in it, and they are kept if it has none. An empty table
+    gives no rows. Other columns are not read.
     """
     work = Workspace(docs.sparkSession, "minhash")
     signed = work.keep(sign(docs, shingle_words=shingle_words, weighting=weighting, banding=banding), "signed")
-    usable = signed.filter("key1 is not null and doc_id is not null")
-    reps = usable.groupBy("key1", "key2", "size").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
-    reps = work.keep(reps, "reps")
-    posted = reps.select("rep", "size", F.explode("bands").alias("bucket"))
-    found = posted.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    members = work.keep(posted.join(found, "bucket"), "members")
+    last = F.lit(2**63 - 1)
+    row = F.struct(F.coalesce("doc_id", last).alias("doc"), "text_key")
+    reps = signed.filter("key1 is not null").groupBy("key1", "key2", "size").agg(F.min(row).alias("rep"), F.first("bands").alias("bands"))
+    reps = work.keep(reps.select("key1", "key2", "size", "rep.*", "bands").withColumn("node", F.monotonically_increasing_id()), "reps")
+    posted = reps.select("node", "size", F.explode("bands").alias("bucket"))
+    ends = [F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b"), F.min("size").alias("low"), F.max("size").alias("high")]
+    buckets = work.keep(posted.groupBy("bucket").agg(*ends).filter("n > 1"), "buckets")
+    twos = buckets.filter((F.col("n") == 2) & (F.col("low") >= threshold * F.col("high"))).select("a", "b").distinct()
+    members = work.keep(posted.join(_sent(buckets.filter("n > 2").select("bucket", "n")), "bucket"), "members")
     # A text that shares many buckets is a likely centre of its crowd.
-    weight = members.groupBy("rep").agg(F.sum("n").alias("weight"))
-    members = work.keep(members.join(weight, "rep"), "weighted")
+    weight = members.groupBy("node").agg(F.sum("n").alias("weight"))
+    members = work.keep(members.join(weight, "node"), "weighted")
+
+    def alike(size: str, other: str) -> Column:
+        return F.least(size, other) >= threshold * F.greatest(size, other)
 
-    wanted = weight.select("rep").join(reps.select("rep", "key1"), "rep").withColumnRenamed("rep", "doc_id")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
+    head = members.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"), "size")).alias("h"))
+    best = members.join(head, "bucket").filter((F.col("h.minus") != -F.col("node")) & alike("size", "h.size")).groupBy("node").agg((-F.max("h")["minus"]).alias("centre"))
+    first = best.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
+    tried = work.keep(first.unionByName(twos).distinct(), "tried")
+
+    ids = tried.select(F.col("a").alias("node")).unionByName(tried.select(F.col("b").alias("node"))).unionByName(members.select("node")).distinct()
+    wanted = work.keep(reps.select("node", "doc", "text_key").join(ids, "node"), "wanted").withColumnRenamed("text_key", "key")
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), last).alias("doc"), F.xxhash64("text").alias("key"), "text").join(_sent(wanted), ["doc", "key"])
     sets = work.keep(member_sets(texts, shingle_words=shingle_words, weighting=weighting), "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        left = sets.select(F.col("doc_id").alias("a"), F.col("members").alias("x"))
-        right = sets.select(F.col("doc_id").alias("b"), F.col("members").alias("y"))
+        left = sets.select(F.col("node").alias("a"), F.col("members").alias("x"))
+        right = sets.select(F.col("node").alias("b"), F.col("members").alias("y"))
         shared = F.size(F.array_intersect("x", "y"))
         return pairs.join(left, "a").join(right, "b").withColumn("shared", shared).filter(F.col("shared") >= threshold * (F.size("x") + F.size("y") - F.col("shared"))).select("a", "b")
 
     def across(left: DataFrame, right: DataFrame) -> DataFrame:
-        """Pairs of one bucket, of two classes, whose sizes allow the threshold; each pair once."""
-        other = right.select("bucket", *(F.col(c).alias(f"{c}_") for c in ("rep", "size", "class")))
-        alike = F.least("size", "size_") >= threshold * F.greatest("size", "size_")
-        pairs = left.join(other, "bucket").filter(alike & (F.col("class") != F.col("class_")))
-        return pairs.select(F.least("rep", "rep_").alias("a"), F.greatest("rep", "rep_").alias("b")).distinct()
-
-    classed = members.withColumn("class", F.col("rep"))
-    used, tried, links, turn, met = None, None, None, 0, 0
-    all_rows = members.count()
-    while True:
-        met += (more_heads := 2 << turn)
-        free = classed if used is None else classed.join(used, ["bucket", "rep"], "left_anti")
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("weight"), "rep"))
-        heads = work.keep(free.withColumn("rank", rank).filter(F.col("rank") <= more_heads).drop("rank"), f"heads-{turn}")
-        used = heads.select("bucket", "rep") if used is None else used.unionByName(heads.select("bucket", "rep"))
-        pairs = across(classed, heads)
-        pairs = work.keep(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), f"tried-{turn}")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        more = work.keep(verified(pairs), f"links-{turn}")
-        links = more if links is None else links.unionByName(more)
+        """Pairs of one bucket and two classes that may still reach the threshold; each pair once."""
+        other = right.select("bucket", *(F.col(c).alias(f"{c}_") for c in ("node", "size", "class", "reach")))
+        able = alike("size", "size_") & (F.least("reach", "reach_") >= threshold / (1 + threshold) * (F.col("size") + F.col("size_")) - 1e-9)
+        pairs = left.join(other, "bucket").filter(able & (F.col("class") != F.col("class_")))
+        return pairs.select(F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b")).distinct()
+
+    def open_buckets(rows: DataFrame, met: int) -> DataFrame:
+        """bucket, n, main (its largest class), left (pairs it still makes) of buckets of several classes with members that no centre has met."""
+        sizes = rows.groupBy("bucket", "class").agg(F.count("*").alias("n"))
+        each = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", "class")).alias("most"))
+        return each.filter((F.col("n") > F.col("most.n")) & (F.col("n") > met + 1)).select("bucket", "n", F.col("most.class").alias("main"), ((F.col("n") - F.col("most.n")) * F.col("n")).alias("left"))
+
+    def reclassed(rows: DataFrame) -> DataFrame:
         known = work.keep(near_classes(links), f"classes-{turn}")
-        joined = classed.drop("class").join(known, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "size", "weight", F.coalesce("class", "rep").alias("class"))
-        # Only buckets of several classes, with members that no head has met, are still open.
-        sizes = joined.groupBy("bucket", "class").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
-        opened = sizes.filter((F.col("n") * F.col("n") > F.col("own")) & (F.col("n") > met + 1))
-        opened = work.keep(opened, f"open-{turn}")
-        rows, left = opened.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2), F.lit(0))).first()
-        classed = work.keep(joined.join(opened.select("bucket"), "bucket", "left_semi"), f"classed-{turn}")
-        turn += 1
-        if left <= all_rows:
+        return rows.drop("class").join(known, "node", "left").withColumn("class", F.coalesce("class", "node"))
+
+    turn, met = 0, 0
+    links = work.keep(verified(tried), "links-0")
+    classed = work.keep(reclassed(members.select("bucket", "node", "size", "weight").withColumn("class", F.col("node"))), "classed-0")
+    classed = classed.join(open_buckets(classed, 0).select("bucket"), "bucket", "left_semi")
+    # Elements that no other open member holds can't be shared with any of them.
+    alone = sets.join(classed.select("node").distinct(), "node", "left_semi").select("node", F.explode("members").alias("m"))
+    alone = alone.groupBy("m").agg(F.count("*").alias("n"), F.min("node").alias("node")).filter("n = 1").groupBy("node").agg(F.count("*").alias("alone"))
+    classed = classed.join(alone, "node", "left").withColumn("reach", F.col("size") - F.coalesce("alone", F.lit(0))).drop("alone").filter(F.col("reach") >= threshold * F.col("size") - 1e-9)
+    classed = work.keep(classed, "open-0")
+    most, used = 4 * members.count(), None
+    while True:
+        opened = work.keep(open_buckets(classed, met), f"open-buckets-{turn}")
+        left = opened.agg(F.coalesce(F.sum("left"), F.lit(0))).first()[0]
+        classed = classed.join(opened.select("bucket", "main"), "bucket")
+        if left <= most:
             break
-    if rows:
-        rest = across(classed, classed).join(tried, ["a", "b"], "left_anti")
-        links = links.unionByName(work.keep(verified(rest), "rest"))
+        turn, met = turn + 1, met + (2 << turn)
+        free = classed if used is None else classed.join(used, ["bucket", "node"], "left_anti")
+        rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("weight"), "node"))
+        heads = work.keep(free.withColumn("rank", rank).filter(F.col("rank") <= (1 << turn)).drop("rank"), f"heads-{turn}")
+        used = heads.select("bucket", "node") if used is None else used.unionByName(heads.select("bucket", "node"))
+        pairs = work.keep(across(classed, heads).join(tried, ["a", "b"], "left_anti"), f"tried-{turn}")
+        tried = tried.unionByName(pairs)
+        links = links.unionByName(work.keep(verified(pairs), f"links-{turn}"))
+        classed = work.keep(reclassed(classed.drop("main")), f"classed-{turn}")
+    if left:
+        rest = work.keep(across(classed.filter("class != main"), classed).join(tried, ["a", "b"], "left_anti"), "rest")
+        links = links.unionByName(work.keep(verified(rest), "links-rest"))
     final = work.keep(connected_components(links, work, "last"), "final")
-    work.drop("members", "weighted", "sets")
-    label = reps.join(final, reps.rep == final.node, "left").select("key1", "key2", "size", F.coalesce("component", "rep").alias("component_id"))
-    ids = signed.select("doc_id", "key1", "key2", "size")
-    joined = ids.join(label, ["key1", "key2", "size"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return joined.select("doc_id", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    work.drop("buckets", "members", "weighted", "sets")
+    placed = reps.select("key1", "key2", "size", "doc", "node").join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    smallest = placed.groupBy("component").agg(F.min("doc").alias("smallest"))
+    label = placed.join(smallest, "component").select("key1", "key2", "size", F.when(F.col("smallest") != last, F.col("smallest")).alias("component_id"))
+    joined = signed.select("doc_id", "text_key", "key1", "key2", "size").join(label, ["key1", "key2", "size"], "left")
+    component = F.when(F.col("key1").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return joined.select("doc_id", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"), "text_key")
