@@ -7,24 +7,26 @@ from pyspark.sql import functions as F
 
 from tessera.llm._work import Workspace
 
-#: Runs of anything but ASCII marks; capital letters count as their small ones.
-_WORD = r"([^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+)"
+#: What stands between words: ASCII marks and white space.
 _GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Tables of at most so many rows (of one word and two numbers) are sent to every task instead of shuffled.
 BROADCAST_ROWS = 500_000
 
 
-def words(text: Column) -> Column:
-    """Lower-case (A-Z only) words of a text, in order; none of null."""
-    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_WORD), F.lit(1))
-    ascii_only = lambda w: F.length(w) == F.octet_length(w)  # noqa: E731  lower() would change other letters too
-    return F.transform(found, lambda w: F.when(ascii_only(w), F.lower(w)).otherwise(F.translate(w, _CAPITALS, _SMALL)))
+def cut(text: Column) -> Column:
+    """Words of a text, in order and as they stand; none of null."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), _GAP), "")
 
 
-def _folded(text: Column) -> Column:
-    """Words as the index holds them: all letters lowered, which costs less and finds no fewer places; their number and order are those of :func:`words`."""
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), _GAP), "")
+def exact(word: Column) -> Column:
+    """The word with A-Z, and no other letters, lower-cased; words compare by this."""
+    return F.when(F.length(word) == F.octet_length(word), F.lower(word)).otherwise(F.translate(word, _CAPITALS, _SMALL))
+
+
+def folded(word: Column) -> Column:
+    """The word as the index holds it: all letters lowered, one word at a time, which costs less than :func:`exact` and finds no fewer places."""
+    return F.lower(word)
 
 
 def _sent(df: DataFrame) -> DataFrame:
@@ -32,46 +34,66 @@ def _sent(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _places(docs: DataFrame) -> DataFrame:
-    """doc_id, pos, word; the outer form, for the other one has Spark cut every text twice, once to see that it has words."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode_outer(_folded(F.col("text"))).alias("pos", "word"))
+def cut_documents(docs: DataFrame, work: Workspace) -> DataFrame:
+    """row, doc_id, text_key, words, n_words, written once: whatever columns are read later, no text is cut again, and rows keep their numbers."""
+    made = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), cut(F.col("text")).alias("words"))
+    return work.keep(made.withColumn("n_words", F.size("words").cast("long")).withColumn("row", F.monotonically_increasing_id()), "cut")
+
 
+def item_places(items: DataFrame, work: Workspace) -> DataFrame:
+    """item, item_id, length, i, word, term (the word as the index holds it) of every place of every item that has words."""
+    listed = items.select("item_id", F.transform(cut(F.col("text")), exact).alias("words")).filter(F.size("words") > 0)
+    listed = work.keep(listed.withColumn("item", F.monotonically_increasing_id()), "items")
+    places = listed.select("item", "item_id", F.size("words").alias("length"), F.posexplode("words").alias("i", "word"))
+    return work.keep(places.withColumn("term", folded(F.col("word"))), "places")
 
-def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """The index: word, doc_id, pos of every occurrence of the terms in the documents."""
-    return _places(docs).join(_sent(terms), "word", "left_semi")
 
+def rarity(texts: DataFrame, places: DataFrame, work: Workspace) -> DataFrame:
+    """term, n: how often each term of the items stands in all documents."""
+    wanted = places.select("term").distinct()
+    found = texts.select(F.explode("words").alias("word")).select(folded(F.col("word")).alias("term"))
+    return work.keep(found.join(_sent(wanted), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n")), "counts")
 
-def item_terms(items: DataFrame, docs: DataFrame, work: Workspace) -> DataFrame:
-    """item, item_id, words, pos, word, n (occurrences in all documents) for every place of every item that has words."""
-    listed = items.select(F.col("item_id"), words(F.col("text")).alias("words")).filter(F.size("words") > 0)
-    listed = work.keep(listed.withColumn("item", F.monotonically_increasing_id()), "items")
-    places = listed.select("item", F.posexplode(F.transform("words", F.lower)).alias("pos", "word"))
-    counts = _places(docs).select("word").join(_sent(places.select("word").distinct()), "word", "left_semi").groupBy("word").agg(F.count("*").alias("n"))
-    counts = work.keep(counts, "counts")
-    return work.keep(places.join(counts, "word", "left").withColumn("n", F.coalesce("n", F.lit(0))), "terms")
+
+def postings(texts: DataFrame, terms: DataFrame) -> DataFrame:
+    """The index: term, row, at of every occurrence of the terms in the documents."""
+    found = texts.select("row", F.posexplode("words").alias("at", "word")).select(folded(F.col("word")).alias("term"), "row", "at")
+    return found.join(_sent(terms), "term", "left_semi")
 
 
-def alignments(docs: DataFrame, terms: DataFrame, window: int, work: Workspace) -> DataFrame:
-    """doc_id, item, shift: places where the two rarest terms of some window of an item stand as far apart as in the item.
+def alignments(texts: DataFrame, places: DataFrame, counts: DataFrame, window: int, work: Workspace) -> DataFrame:
+    """row, item, shift: places where the two rarest terms of some window of an item stand as far apart as in the item.
 
     A window with a word that no document has is left out. The lists of both
     terms, each moved back by the term's place in the item, are intersected.
     """
-    size = Window.partitionBy("item")
-    whole = terms.withColumn("length", F.count("*").over(size))
-    starts = F.sequence(F.greatest(F.lit(0), F.col("pos") - window + 1), F.least(F.col("pos"), F.greatest(F.lit(0), F.col("length") - window)))
-    windowed = whole.withColumn("start", F.explode(starts))
-    ranked = windowed.withColumn("rank", F.row_number().over(Window.partitionBy("item", "start").orderBy("n", "pos"))).withColumn("least", F.min("n").over(Window.partitionBy("item", "start")))
-    chosen = work.keep(ranked.filter("rank <= 2 and least > 0").select("word", "item", "pos", (F.col("length") == 1).alias("single")).distinct(), "chosen")
-    index = work.keep(postings(docs, chosen.select("word").distinct()), "postings")
-    moved = index.withColumnRenamed("pos", "at").join(_sent(chosen), "word").select("doc_id", "item", (F.col("at") - F.col("pos")).alias("shift"), "pos", "single")
-    met = moved.groupBy("doc_id", "item", "shift").agg(F.min("pos").alias("low"), F.max("pos").alias("high"), F.first("single").alias("single"))
-    return work.keep(met.filter("low < high or single").select("doc_id", "item", "shift"), "alignments")
+    last = F.greatest(F.lit(0), F.col("length") - window)
+    starts = F.sequence(F.greatest(F.lit(0), F.col("i") - window + 1), F.least(F.col("i"), last))
+    windowed = places.join(counts, "term", "left").select("item", "length", "i", "term", F.coalesce("n", F.lit(0)).alias("n"), F.explode(starts).alias("start"))
+    one = Window.partitionBy("item", "start")
+    ranked = windowed.withColumn("rank", F.row_number().over(one.orderBy("n", "i"))).withColumn("least", F.min("n").over(one))
+    chosen = work.keep(ranked.filter("rank <= 2 and least > 0").select("term", "item", "i", (F.col("length") == 1).alias("single")).distinct(), "chosen")
+    index = work.keep(postings(texts, chosen.select("term").distinct()), "postings")
+    moved = index.join(_sent(chosen), "term").select("row", "item", (F.col("at") - F.col("i")).alias("shift"), "i", "single")
+    met = moved.groupBy("row", "item", "shift").agg(F.min("i").alias("low"), F.max("i").alias("high"), F.max("single").alias("single"))
+    return work.keep(met.filter("low < high or single").select("row", "item", "shift"), "alignments")
+
+
+def occurrences(texts: DataFrame, places: DataFrame, found: DataFrame, window: int, work: Workspace) -> DataFrame:
+    """row, item, item_id, at of every document word inside an occurrence of a window, word by word from the alignments."""
+    wanted = found.join(places, "item").select("row", "item", "item_id", "shift", "i", (F.col("shift") + F.col("i")).alias("at"), "word", "length")
+    own = texts.select("row", "words").join(_sent(found.select("row").distinct()), "row", "left_semi")
+    own = own.select("row", F.posexplode("words").alias("at", "w")).select("row", "at", exact(F.col("w")).alias("word"))
+    same = wanted.join(own, ["row", "at", "word"])
+    # Neighbours in the item are neighbours in the document; a run of them as long as a window is made of windows.
+    one = Window.partitionBy("row", "item", "shift").orderBy("i")
+    runs = same.withColumn("run", F.col("i") - F.row_number().over(one))
+    long = F.count("*").over(Window.partitionBy("row", "item", "shift", "run")) >= F.least("length", F.lit(window))
+    return work.keep(runs.withColumn("long", long).filter("long").select("row", "item", "item_id", "at"), "hits")
 
 
 def contamination(docs: DataFrame, items: DataFrame, *, window: int = 13, share: int = 20) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, text_key (xxhash64 of the text).
 
     A window is ``window`` consecutive words of an item, or a shorter item as a
     whole. A document's word is hit inside any occurrence of a window; a
@@ -80,61 +102,50 @@ def contamination(docs: DataFrame, items: DataFrame, *, window: int = 13, share:
     confirm it. Null and wordless texts have no words and no hits; items
     without words are ignored, rows that repeat an item_id count once, a null
     item_id hits but is not listed; rows that repeat a doc_id or have none are
-    each judged by their own text. Other columns are not read.
+    each judged by their own text. Empty tables give no rows, or no hits. Other
+    columns are not read.
     """
     work = Workspace(docs.sparkSession, "phrases")
-    terms = item_terms(items, docs, work)
-    found = alignments(docs, terms, window, work)
-    listed = docs.sparkSession.read.parquet(work.uri("items")).select("item", "item_id", F.col("words").alias("item_words"))
-    cases = found.join(listed, "item").groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "shift", "item_words")).alias("cases"))
-    cases = cases.withColumnRenamed("doc_id", "case_doc")
-    key = F.col("doc_id").cast("long")
-    joined = docs.select(key.alias("doc_id"), "text").join(cases, F.col("doc_id").eqNullSafe(F.col("case_doc")), "left")
-    # Only texts with cases are cut exactly.
-    read = joined.select("doc_id", F.size(_folded(F.col("text"))).alias("n_folded"), F.when(F.col("cases").isNotNull(), words(F.col("text"))).alias("words"), "cases")
-
-    def occurrences(case: Column) -> Column:
-        """First places of the item's windows that stand in the document at this shift."""
-        same = F.transform(case["item_words"], lambda w, i: F.coalesce(F.get(F.col("words"), case["shift"] + i) == w, F.lit(False)))
-        length = F.least(F.size(case["item_words"]), F.lit(window))
-        return F.filter(F.sequence(F.lit(0), F.size(case["item_words"]) - length), lambda s: F.forall(F.slice(same, s + 1, length), lambda x: x))
-
-    def hit(case: Column) -> Column:
-        length = F.least(F.size(case["item_words"]), F.lit(window))
-        return F.flatten(F.transform(case["starts"], lambda s: F.sequence(case["shift"] + s, case["shift"] + s + length - 1)))
-
-    checked = F.transform("cases", lambda c: F.struct(c["item_id"].alias("item_id"), c["shift"].alias("shift"), c["item_words"].alias("item_words"), occurrences(c).alias("starts")))
-    # Used twice here, the words stay a column; used once, Spark would cut the text anew for every word that is compared.
-    n_words = F.coalesce(F.size("words"), F.col("n_folded")).cast("long")
-    judged = read.select("doc_id", n_words.alias("n_words"), F.filter(checked, lambda c: F.size(c["starts"]) > 0).alias("cases"))
-    none = F.array().cast("array<string>")
-    ids = F.coalesce(F.sort_array(F.array_distinct(F.filter(F.transform("cases", lambda c: c["item_id"].cast("string")), lambda x: x.isNotNull()))), none)
-    hits = F.coalesce(F.size(F.array_distinct(F.flatten(F.transform("cases", hit)))), F.lit(0))
-    counted = judged.select("doc_id", "n_words", F.when(F.col("cases").isNull(), 0).otherwise(hits).cast("long").alias("n_hit"), ids.alias("ids"))
+    texts = cut_documents(docs, work)
+    places = item_places(items, work)
+    found = alignments(texts, places, rarity(texts, places, work), window, work)
+    hits = occurrences(texts, places, found, window, work)
+    n_hit = hits.select("row", "at").distinct().groupBy("row").agg(F.count("*").alias("n_hit"))
+    listed = hits.filter("item_id is not null").select("row", F.col("item_id").cast("string").alias("id")).distinct()
+    items_of = listed.groupBy("row").agg(F.count("*").alias("n_items"), F.sha2(F.concat_ws(",", F.sort_array(F.collect_list("id"))), 256).alias("items_sha256"))
+    judged = work.keep(n_hit.join(items_of, "row", "left"), "judged")
+    counted = texts.select("row", "doc_id", "text_key", "n_words").join(_sent(judged), "row", "left").withColumn("n_hit", F.coalesce("n_hit", F.lit(0).cast("long")))
     return counted.select(
         "doc_id",
         "n_words",
         "n_hit",
-        F.size("ids").cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", "ids"), 256).alias("items_sha256"),
+        F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
+        F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words"))).alias("contaminated"),
+        "text_key",
     )
 
 
 def proximity_matches(docs: DataFrame, items: DataFrame, *, terms: int = 3, span: int = 30) -> DataFrame:
     """doc_id, item_id, first, last: every place where the item's ``terms`` rarest distinct words stand within ``span`` words, in any order.
 
-    Words that no document has are left out of account. A place begins at any occurrence of one of the words.
+    Words that no document has are left out of account, and capital letters of
+    any alphabet count as small ones. A place begins at any occurrence of one
+    of the words and ends at the last of them within the span. Words equally
+    rare are taken in the order of the alphabet. Null and wordless texts and
+    items have no places; rows that repeat an id give their places once; a null
+    id stays null; empty tables give no rows. Other columns are not read.
     """
     work = Workspace(docs.sparkSession, "proximity")
-    table = item_terms(items, docs, work)
-    rare = table.filter("n > 0").groupBy("item", "word").agg(F.min("n").alias("n")).withColumn("rank", F.row_number().over(Window.partitionBy("item").orderBy("n", "word"))).filter(F.col("rank") <= terms)
-    wanted = rare.withColumn("wanted", F.count("*").over(Window.partitionBy("item"))).select("item", "word", "wanted")
-    listed = docs.sparkSession.read.parquet(work.uri("items")).select("item", "item_id")
-    index = postings(docs, wanted.select("word").distinct()).join(_sent(wanted), "word")
-    near = Window.partitionBy("doc_id", "item").orderBy("pos").rangeBetween(0, span - 1)
-    met = index.withColumn("seen", F.size(F.collect_set("word").over(near))).withColumn("last", F.max("pos").over(near)).filter("seen = wanted")
-    return met.join(listed, "item").select("doc_id", "item_id", F.col("pos").alias("first"), "last").distinct()
+    texts = cut_documents(docs, work)
+    places = item_places(items, work)
+    rank = F.row_number().over(Window.partitionBy("item").orderBy("n", "term"))
+    rare = places.select("item", "item_id", "term").distinct().join(rarity(texts, places, work), "term").withColumn("rank", rank).filter(F.col("rank") <= terms)
+    wanted = work.keep(rare.withColumn("wanted", F.count("*").over(Window.partitionBy("item"))).select("item", "item_id", "term", "wanted"), "rare")
+    index = postings(texts, wanted.select("term").distinct()).join(_sent(wanted), "term")
+    near = Window.partitionBy("row", "item").orderBy("at").rangeBetween(0, span - 1)
+    met = index.withColumn("seen", F.size(F.collect_set("term").over(near))).withColumn("last", F.max("at").over(near)).filter("seen = wanted")
+    return met.join(texts.select("row", "doc_id"), "row").select("doc_id", "item_id", F.col("at").alias("first"), "last").distinct()
 
 
 #: The same by brute force over all windows.

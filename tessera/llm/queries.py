@@ -18,7 +18,7 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(_documents(spark, sf_dir), threshold=0.8, shingle_words=5)
+    return minhash.near_duplicates(_documents(spark, sf_dir), threshold=0.8, shingle_words=5, weighting="count").drop("text_key")
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def op7_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return phrases.contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=13, share=20)
+    return phrases.contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=13, share=20).drop("text_key")
 
 
 def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:

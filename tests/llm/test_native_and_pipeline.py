@@ -79,7 +79,7 @@ def plain_contamination(text, items):
 
 def test_contamination_against_all_windows(spark):
     item = " ".join(f"q{i}" for i in range(30))
-    items = [(10, item), (9, "Short Item Here"), (11, item), (12, None), (13, "..."), (None, "lonely"), (14, "the " * 20), (15, "École Été q1"), (9, "other text")]
+    items = [(10, item), (9, "Short Item Here"), (11, item), (12, None), (13, "..."), (None, "lonely"), (14, "the " * 20), (15, "École Été q1"), (9, "other text"), (16, "ΟΔΟΣ.ΑΒ γάμμα")]
     rows = [
         (1, item.upper() + " tail"),
         (2, "x " * 300 + " ".join(f"q{i}" for i in range(5, 18))),
@@ -94,10 +94,12 @@ def test_contamination_against_all_windows(spark):
         (20, ""),
         (21, "q29 " + item + " " + item),
         (22, "é" * 100_000),
+        (23, "ΟΔΟΣ.ΑΒ γάμμα"),
+        (24, "οδοσ.αβ γάμμα"),
     ]
     bench = spark.createDataFrame([(k, t) for k, t in items], "item_id long, text string")
     out = phrases.contamination(table(spark, rows), bench)
-    got = sorted(str(tuple(r)) for r in out.collect())
+    got = sorted(str(tuple(r)) for r in out.drop("text_key").collect())
     assert got == sorted(str((k, *plain_contamination(t, items))) for k, t in rows)
     empty = phrases.contamination(table(spark, rows), bench.limit(0))
     assert {(r.n_hit, r.contaminated) for r in empty.collect()} == {(0, False)} and phrases.contamination(table(spark, []), bench).count() == 0
@@ -123,6 +125,36 @@ def test_native_plans_hold_no_python(spark):
         assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
 
 
+def test_texts_are_cut_once_whatever_columns_are_read(spark):
+    bench = spark.createDataFrame([(1, line(20))], "item_id long, text string")
+    out = phrases.contamination(table(spark, [(1, line(20)), (2, "x")]), bench).filter("contaminated").select("doc_id")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan and "regexp" not in plan and [r.doc_id for r in out.collect()] == [1]
+
+
+def test_clean_rows_under_the_id_of_a_removed_one_stay(spark, tmp_path):
+    bench, clean = " ".join(f"b{i}" for i in range(20)), [" ".join(f"c{i}w{j}" for j in range(30)) for i in range(3)]
+    spark.createDataFrame([(1, bench)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(1, bench), (1, clean[0]), (None, bench), (None, clean[1]), (2, clean[0] + " more"), (2, clean[2]), (None, clean[0])]
+    clashing = table(spark, rows).withColumns({c: F.lit(7) for c in ("removed_doc", "removed_key", "doc", "key", "gone", "row", "words")})
+    left = corpus_pipeline.decontaminate(spark, clashing, str(tmp_path))
+    assert left.columns == clashing.columns
+    assert sorted((r.doc_id or 0, r.text) for r in left.collect()) == sorted((k or 0, t) for k, t in rows if t != bench)
+    left = corpus_pipeline.near_dedup(spark, clashing, str(tmp_path))
+    assert sorted((r.doc_id or 0, r.text) for r in left.collect()) == sorted([(1, bench), (1, clean[0]), (0, clean[1]), (2, clean[2])])
+    left = corpus_pipeline.line_dedup(spark, clashing, str(tmp_path))
+    assert sorted((r.doc_id or 0, r.text) for r in left.collect()) == sorted([(1, bench), (1, clean[0]), (0, ""), (0, clean[1]), (2, ""), (2, clean[2]), (0, "")])
+
+
+def test_the_whole_pipeline(spark):
+    rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
+    docs = {r.doc_id for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    assert rows and {r.doc_id for r in rows} < docs
+    places = sorted((r.sequence_id, r.offset, r.length) for r in rows)
+    for (s, a, n), (t, b, _) in zip(places, places[1:], strict=False):
+        assert (b == a + n) if s == t else (b == 0 and a + n <= 1024)
+
+
 def test_stages_keep_columns_and_clean_rows(spark, tmp_path):
     clean = [(i, " ".join(f"c{i}w{j}" for j in range(30))) for i in range(12)]
     copy = (50, clean[3][1].replace("c3w29", "other"))
