@@ -46,6 +46,7 @@ CLASSES: dict[str, list[str]] = {
     "unicode_trickery": ["re:[\u202a-\u202e\u2066-\u2069\u200b-\u200d\ufeff]"],
     "ioc_canary": [],
 }
+# Fixed values, as above.
 SECRETS: dict[str, list[str]] = {
     "secret_jwt": [r"re:eyJ[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]*"],
     "secret_private_key": ["re:-----BEGIN [A-Z ]*PRIVATE KEY-----", "BEGIN OPENSSH PRIVATE KEY"],
@@ -69,9 +70,9 @@ SECRETS: dict[str, list[str]] = {
     "secret_password_hash": [r"re:\$2[aby]\$", "$argon2", "$scrypt$", r"re:\bpbkdf2_"],
     "secret_connection_string": [r"re:(?i)[a-z][a-z0-9+.-]*://[^/\s:@]+:[^/\s:@]+@"],
 }
-#: Found in bytes only, for text never holds it.
+#: Fixed values, found in bytes only, for text never holds it.
 RAW_BYTES: dict[str, list[bytes]] = {"deserialization": [b"\x80\x04\x95"]}
-#: Entity names that the detector decodes, besides numeric ones.
+#: Entity names that the detector decodes, besides numeric ones.
 ENTITIES = {
     "lt": "<",
     "gt": ">",
@@ -102,17 +103,57 @@ ENTITIES = {
 }
 
 
-def patterns(extra: dict[str, list[str]] | None = None) -> dict[str, str]:
-    """One alternation per class that has tokens; ``extra`` adds literals to classes, as for an incident."""
+#: For engines that backtrack: patterns that find something in the same texts, but read hostile ones once.
+#: A run of letters is entered at its start only, and what was read is not given back.
+LINEAR = {
+    r"(?i)[a-z][a-z0-9+.-]*://[^/\s:@]+:[^/\s:@]+@": r"(?i)(?<![a-z0-9+.\-])[0-9+.\-]*+[a-z][a-z0-9+.\-]*+://[^/\s:@]++:[^/\s:@]++@",
+    r"eyJ[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]*": r"(?<![A-Za-z0-9_-])(?:(?!eyJ)[A-Za-z0-9_-])*+eyJ[A-Za-z0-9_-]{5,}+\.[A-Za-z0-9_-]{5,}+\.",
+    r"(?i)^\s*system:": r"(?i)^[^\S\n]*+system:",
+    r"(?i)^\s*assistant:": r"(?i)^[^\S\n]*+assistant:",
+}
+
+
+def _tokens(extra: dict[str, list[str]] | None) -> dict[str, list[str]]:
+    return {name: tokens + (extra or {}).get(name, []) for name, tokens in (CLASSES | SECRETS).items()}
+
+
+def patterns(extra: dict[str, list[str]] | None = None, *, linear: bool = False) -> dict[str, str]:
+    """One alternation per class that has tokens; ``extra`` adds literals to classes, as for an incident; ``linear`` for engines that backtrack."""
     out = {}
-    for name, tokens in (CLASSES | SECRETS).items():
-        tokens = tokens + (extra or {}).get(name, [])
-        parts = [_scoped(t[3:]) if t.startswith("re:") else re.sub(r"([^\w\s])", r"\\\1", t) for t in tokens]
+    for name, tokens in _tokens(extra).items():
+        parts = [_scoped(LINEAR.get(t[3:], t[3:]) if linear else t[3:]) if t.startswith("re:") else re.sub(r"([^\w\s])", r"\\\1", t) for t in tokens]
         if parts:
             out[name] = "|".join(parts)
     return out
 
 
+def searches(extra: dict[str, list[str]] | None = None) -> dict[str, tuple[list[str], list[str] | None, str | None]]:
+    """For each class with tokens: literal texts; lower-case texts of which an ASCII text that the pattern matches holds
+    one, or None if there is no such list; the pattern of all that is not literal, if anything is."""
+    out = {}
+    for name, tokens in _tokens(extra).items():
+        literal = [t for t in tokens if not t.startswith("re:")]
+        found = [t[3:] for t in tokens if t.startswith("re:")]
+        needed = [_needed(x) for x in found]
+        guards = None if None in needed else sorted({x for x in needed if x})
+        if tokens:
+            out[name] = (literal, guards, "|".join(_scoped(LINEAR.get(x, x)) for x in found) or None)
+    return out
+
+
+def _needed(pattern: str) -> str | None:
+    """The longest text, lower-case, that stands in every match of the pattern; "" if no ASCII text matches, None if there is no text."""
+    body = pattern.removeprefix("(?i)")
+    if re.fullmatch(r"\[[^\]]*\]", body) and not any(re.search(body, chr(i)) for i in range(128)):
+        return ""
+    # Letters of a class, a group, an escape such as \b and what may stand more or fewer times end a run of plain letters.
+    plain = re.sub(r"\[(?:\\.|[^\]])*\]|\((?:\\.|[^)])*\)|\\[a-zA-Z]", "\0", body)
+    plain = re.sub(r"(?:\\.|.)(?:[*?]|\{[^}]*\})", "\0", plain, flags=re.DOTALL)
+    plain = re.sub(r"\\(.)|[.^$|+]", lambda m: m[1] or "\0", plain)
+    longest = max(plain.split("\0"), key=len)
+    return longest.lower() or None
+
+
 def _scoped(pattern: str) -> str:
     """A leading case flag bound to its own alternative, in the form that both Java and Python read."""
     return f"(?i:{pattern[4:]})" if pattern.startswith("(?i)") else f"(?:{pattern})"

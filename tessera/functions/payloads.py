@@ -14,15 +14,38 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tessera.functions.catalogue import ENTITIES, RAW_BYTES, patterns
+from tessera.functions.catalogue import ENTITIES, RAW_BYTES, patterns, searches
 
 SCAN = "classes array<string>, via array<string>, normalises_differently boolean, over_budget boolean"
 
 
+def once(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, however often it reads it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def raw_classes(text: Column, extra: dict[str, list[str]] | None = None) -> Column:
-    """Names of the classes that match a text as it is, in the catalogue's order; null text has none."""
-    tests = [F.when(text.rlike(f"(?mdU){p}"), F.lit(name)) for name, p in patterns(extra).items()]
-    return F.filter(F.array(*tests), lambda x: x.isNotNull())
+    """Names of the classes that match a text as it is, in the catalogue's order; null text has none.
+
+    Literal tokens are looked for byte by byte. A class's patterns run only on
+    texts that hold what one of them needs, or letters beyond ASCII, and none of
+    them reads a text more than once.
+    """
+
+    def holds(tokens: list[str], where: Column) -> Column:
+        return F.exists(F.array(*map(F.lit, tokens)), lambda x: F.contains(where, x)) if tokens else F.lit(False)
+
+    def classes(cell: Column) -> Column:
+        tests = []
+        for name, (literal, guards, pattern) in searches(extra).items():
+            found = holds(literal, cell["text"])
+            if pattern is not None:
+                able = F.lit(True) if guards is None else cell["wide"] | holds(guards, cell["low"])
+                found = found | (able & cell["text"].rlike(f"(?mdU){pattern}"))
+            tests.append(F.when(found, F.lit(name)))
+        return F.filter(F.array(*tests), lambda x: x.isNotNull())
+
+    return once(F.struct(text.alias("text"), F.lower(text).alias("low"), (F.octet_length(text) != F.length(text)).alias("wide")), classes)
 
 
 def sample_hex(value: Column, most: int = 64) -> Column:
@@ -33,7 +56,7 @@ def sample_hex(value: Column, most: int = 64) -> Column:
 @lru_cache(maxsize=8)
 def _compiled(extra: tuple[tuple[str, tuple[str, ...]], ...] = ()) -> dict[str, tuple[re.Pattern, re.Pattern]]:
     found = {}
-    for name, p in patterns({k: list(v) for k, v in extra}).items():
+    for name, p in patterns({k: list(v) for k, v in extra}, linear=True).items():
         raw = b"|".join([p.encode(), *map(re.escape, RAW_BYTES.get(name, []))])
         ascii_only = all(ord(c) < 128 for c in p)
         found[name] = (re.compile(p, re.MULTILINE), re.compile(raw, re.MULTILINE) if ascii_only else re.compile(b"(?!)"))

@@ -7,8 +7,9 @@ import ipaddress
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
-from tessera.contracts import ColumnContract
+from tessera.contracts import ColumnContract, Limits
 from tessera.types import Declared
 
 _DAY = r"[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])"
@@ -126,8 +127,8 @@ def base58(text: str) -> bytes | None:
     return b"\0" * zeros + number.to_bytes((number.bit_length() + 7) // 8, "big")
 
 
-def opaque(c: Column, size: int, spellings: str = "base58") -> Column:
-    """A text that stands for exactly ``size`` bytes in base58, or also in canonical base64; empty is allowed."""
+def opaque(c: Column, size: int, spellings: str = "base58", *, empty: bool = False) -> Column:
+    """A text that stands for exactly ``size`` bytes in base58, or also in canonical base64; the empty text only where ``empty`` allows it, as signatures and public keys do."""
 
     @F.pandas_udf("boolean")
     def holds(values: pd.Series) -> pd.Series:
@@ -135,7 +136,7 @@ def opaque(c: Column, size: int, spellings: str = "base58") -> Column:
 
         def one(v: str | None) -> bool:
             if v == "":
-                return True
+                return empty
             if v is None or len(v) > 2 * size:
                 return False
             forms = [base58(v)] + ([strict_base64(v.encode())] if spellings != "base58" else [])
@@ -220,3 +221,34 @@ def equal_lengths(*arrays: Column) -> Column:
     for other in arrays[1:]:
         same = same & F.size(arrays[0]).eqNullSafe(F.size(other))
     return _all((same, "lengths differ"))
+
+
+def nested(kind: DataType) -> bool:
+    return isinstance(kind, (ArrayType, MapType, StructType))
+
+
+def walk_reason(c: Column, kind: DataType, limits: Limits) -> Column:
+    """The first reason against what a nested value holds: too many elements of an array or map, a null that its type
+    does not allow, a control character or too many bytes in a text, at any depth; null if there is none."""
+    if isinstance(kind, ArrayType):
+        inside = F.filter(F.transform(c, lambda x: F.coalesce(walk_reason(x, kind.elementType, limits), F.when(x.isNull(), F.lit(None if kind.containsNull else "null element")))), lambda r: r.isNotNull())
+        return F.when(F.size(c) > limits.max_elements, "too many elements").otherwise(F.get(inside, F.lit(0)))
+    if isinstance(kind, MapType):
+        parts = (walk_reason(F.map_keys(c), ArrayType(kind.keyType, False), limits), walk_reason(F.map_values(c), ArrayType(kind.valueType, kind.valueContainsNull), limits))
+        return F.coalesce(*parts)
+    if isinstance(kind, StructType):
+        return F.coalesce(*(walk_reason(c[f.name], f.dataType, limits) for f in kind.fields), F.lit(None).cast("string"))
+    if isinstance(kind, StringType):
+        return F.when(c.isNotNull(), F.coalesce(F.when(F.octet_length(c) > limits.max_field_bytes, "too long"), free_text(c)))
+    return F.lit(None).cast("string")
+
+
+def texts_in(c: Column, kind: DataType) -> Column:
+    """All texts in a nested value, each on lines of its own, in order; null if it has no place for any."""
+    if isinstance(kind, ArrayType):
+        return F.array_join(F.transform(c, lambda x: texts_in(x, kind.elementType)), "\n")
+    if isinstance(kind, MapType):
+        return F.concat_ws("\n", texts_in(F.map_keys(c), ArrayType(kind.keyType)), texts_in(F.map_values(c), ArrayType(kind.valueType)))
+    if isinstance(kind, StructType):
+        return F.concat_ws("\n", *(texts_in(c[f.name], f.dataType) for f in kind.fields))
+    return c if isinstance(kind, StringType) else F.lit(None).cast("string")

@@ -2,50 +2,89 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.contracts import ColumnContract
+from tessera.contracts import ColumnContract, Limits
 from tessera.errors import FindingError
-from tessera.functions.payloads import raw_classes, sample_hex
-from tessera.functions.validators import column_reason
+from tessera.functions.payloads import decoded_scan, once, raw_classes, sample_hex
+from tessera.functions.validators import column_reason, nested, texts_in, walk_reason
 
 #: One row per finding, the same for every check.
 FINDINGS = "phase string, column string, file int, row long, reason string, escalate boolean, sample_hex string, classes array<string>, via array<string>"
 
 
-def audit(df: DataFrame, columns: list[ColumnContract], key: Column, *, file: Column | None = None, text: bool = True, scan: bool = True) -> DataFrame:
+def _entry(contract: ColumnContract, c: Column, via: Column) -> Callable[[Column], Column]:
+    """What makes the finding of a value out of (reason, found); null without one."""
+    none = F.array().cast("array<string>")
+
+    def entry(x: Column) -> Column:
+        classes = F.coalesce(x["found"], none)
+        why = F.coalesce(x["reason"], F.when(F.size(classes) > 0, F.concat(F.lit("payload: "), F.array_join(classes, ","))))
+        made = F.struct(
+            F.when(x["reason"].isNull(), "payload").otherwise("contract").alias("phase"),
+            F.lit(contract.name).alias("column"),
+            why.alias("reason"),
+            F.lit(contract.freedom != "open").alias("escalate"),
+            sample_hex(c.cast("string")).alias("sample_hex"),
+            classes.alias("classes"),
+            F.when(F.size(classes) > 0, via).otherwise(none).alias("via"),
+        )
+        return F.when(why.isNotNull(), made)
+
+    return entry
+
+
+def audit(df: DataFrame, columns: list[ColumnContract], key: Column, *, file: Column | None = None, text: bool = True, scan: bool = True, limits: Limits | None = None, iocs: tuple[str, ...] = ()) -> DataFrame:
     """Findings of every value that breaks its contract or, being text, holds a payload; one at most per value.
 
     One pass: each row makes an array with an entry per column, and only
-    entries with a reason are unfolded. ``key`` numbers the rows. A payload in
-    an open column is a finding too, but does not escalate. Dropped columns are
-    not read.
+    entries with a reason are unfolded. ``key`` numbers the rows. A finding in
+    an open column does not escalate. Dropped columns are not read.
+
+    With ``limits`` text is also scanned in its decoded forms, as many rounds
+    and bytes deep as they say, values beyond their byte cap are findings, and
+    so is a value that unfolds into more than they allow; arrays, maps and
+    structs are walked into, their elements counted, and every text in them
+    checked. Without, text is scanned as it stands. ``iocs`` are literals of an
+    incident that count as payloads.
     """
+    extra = {"ioc_canary": list(iocs)} if iocs else None
+    kept = [c for c in columns if not c.drop]
+    names = fresh(df, *(f"decoded_{i}" for i in range(len(kept))))
     entries = []
-    for contract in columns:
-        if contract.drop:
-            continue
+    for contract, name in zip(kept, names, strict=True):
         c = F.col(f"`{contract.name}`")
-        reason = column_reason(c, contract, text=text)
         leaf = contract.declared
         leaf = leaf.inner[0] if leaf.name in ("Nullable", "LowCardinality") else leaf
-        found = raw_classes(c.cast("string")) if scan and (text or leaf.name == "String") else F.array().cast("array<string>")
+        tests = [column_reason(c, contract, text=text)]
+        kind = df.schema[contract.name].dataType
+        scanned = scan and (text or leaf.name == "String")
+        if limits is not None:
+            if nested(kind):
+                tests.append(walk_reason(c, kind, limits))
+            elif scanned:
+                tests.append(F.when(F.octet_length(c.cast("string")) > limits.max_field_bytes, "too long"))
+        reason = F.coalesce(*tests)
+        value = texts_in(c, kind) if nested(kind) else c.cast("string")
+        found, via = F.lit(None).cast("array<string>"), F.array(F.lit("raw"))
+        if scan and (scanned or nested(kind)):
+            found = raw_classes(value, extra)
+            if limits is not None:
+                # Only values that are still in question go to Python; one that is too long is a finding already.
+                asked = F.when(reason.isNull(), value)
+                df = df.withColumn(name, decoded_scan(asked, rounds=limits.max_decode_rounds, ratio=limits.max_decode_expansion_ratio, extra=extra))
+                deep = F.col(name)
+                reason = F.coalesce(reason, F.when(deep["over_budget"], "decodes into too much"))
+                found, via = deep["classes"], deep["via"]
         exempt = c.isin(*contract.approved) if contract.approved else F.lit(False)
-        classes = F.when(reason.isNull() & c.isNotNull() & ~exempt, found).otherwise(F.array().cast("array<string>"))
-        why = F.coalesce(reason, F.when(F.size(classes) > 0, F.concat(F.lit("payload: "), F.array_join(classes, ","))))
-        entry = F.struct(
-            F.when(reason.isNull(), "payload").otherwise("contract").alias("phase"),
-            F.lit(contract.name).alias("column"),
-            why.alias("reason"),
-            (reason.isNotNull() | F.lit(contract.freedom != "open")).alias("escalate"),
-            sample_hex(c.cast("string")).alias("sample_hex"),
-            classes.alias("classes"),
-            F.when(F.size(classes) > 0, F.array(F.lit("raw"))).otherwise(F.array().cast("array<string>")).alias("via"),
-        )
-        entries.append(F.when(why.isNotNull(), entry))
+        judged = F.struct(reason.alias("reason"), F.when(reason.isNull() & c.isNotNull() & ~exempt, found).alias("found"))
+
+        entries.append(once(judged, _entry(contract, c, via)))
     hits = F.filter(F.array(*entries), lambda e: e.isNotNull())
-    unfolded = df.select((F.lit(0) if file is None else file).cast("int").alias("file"), key.cast("long").alias("row"), F.explode(hits).alias("f"))
+    unfolded = df.select((F.lit(0) if file is None else file).cast("int").alias("file"), key.cast("long").alias("row"), F.explode_outer(hits).alias("f")).filter("f is not null")
     return unfolded.select("f.phase", "f.column", "file", "row", "f.reason", "f.escalate", "f.sample_hex", "f.classes", "f.via")
 
 
@@ -56,6 +95,14 @@ def payload_findings(df: DataFrame, columns: list[str], key: Column) -> DataFram
     return hits.select("p.column", "row", F.explode("p.classes").alias("class"), "p.sample_hex")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to be no column of the frame."""
+    taken = {c.lower() for c in df.columns}
+    for _ in range(len(taken) + 1):
+        names = tuple(f"_{n}" if n.lower() in taken else n for n in names)
+    return list(names)
+
+
 def by_reason(findings: DataFrame) -> DataFrame:
     """column, reason, findings, and distinct rows with them."""
     return findings.groupBy("column", "reason").agg(F.count("*").alias("findings"), F.count_distinct("file", "row").alias("rows"))

@@ -62,7 +62,7 @@ def regenerate(df: DataFrame, out: str, *, rows_per_file: int = 5_000_000) -> No
 
 
 def publish(df: DataFrame, contract: TableContract, raw: str, out: str, *, key, source: str = "", sha256: str = "", signed_off: bool = False, survey: bool = False) -> dict:
-    """Audit, and unless anything is found write the data, read it back, and write report and manifest.
+    """Audit within the contract's limits, decoded forms too, and unless anything is found write the data, read it back, and write report and manifest.
 
     ``survey`` returns the inventory and writes nothing. Enforcing needs a
     sign-off and a destination other than the source.
@@ -72,7 +72,7 @@ def publish(df: DataFrame, contract: TableContract, raw: str, out: str, *, key,
         raise UsageError("the clean destination is the raw source")
     if not survey and not signed_off:
         raise UsageError("publishing needs a sign-off")
-    hits = found.audit(df, list(contract.kept), key, text=False)
+    hits = found.audit(df, list(contract.kept), key, text=False, limits=contract.limits, iocs=contract.iocs)
     if survey:
         return {"state": "survey", "inventory": [r.asDict(recursive=True) for r in found.inventory(hits).orderBy("column").collect()]}
     found.enforce(hits)

@@ -212,7 +212,7 @@ def _customer_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return findings.audit(table(spark, sf_dir, "customer"), list(_CUSTOMER.columns), F.col("c_custkey"), text=False)
 
 
-@register("audit_findings", f'select \'contract\' as phase, col as "column", 0 as file, row, reason, true as escalate, substr(lower(hex(encode(value))), 1, 128) as sample_hex from ({_AUDIT_SQL})')
+@register("audit_findings", f"""select 'contract' as phase, col as "column", 0 as file, row, reason, col <> 'c_name' as escalate, substr(lower(hex(encode(value))), 1, 128) as sample_hex from ({_AUDIT_SQL})""")
 def audit_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _customer_findings(spark, sf_dir).select("phase", "column", "file", "row", "reason", "escalate", "sample_hex")
 

@@ -2,6 +2,8 @@
 
 import base64
 import random
+import re
+import time
 
 import pytest
 from hypothesis import given
@@ -97,3 +99,24 @@ def test_rounds_and_budget():
     assert p.scan(bomb)[3] is True
     assert p.scan(b"\x80\x04\x95")[0] == ["deserialization"]
     assert p.scan("é".encode())[2] is True
+
+
+def test_guards_and_linear_patterns_find_what_the_catalogue_finds(spark):
+    rng = random.Random(11)
+    parts = [t[3:] if t.startswith("re:") else t for tokens in (CLASSES | SECRETS).values() for t in tokens]
+    plain = [re.sub(r"\(\?i\)|\\b|\^|\[[^\]]*\]|\{[^}]*\}|[\\+*?()]", lambda m: "a" * 20 if m[0].startswith("{") else "", x) for x in parts]
+    bits = parts + plain + [" ", "\n", "a", "9", "-", ".", "eyJ", "://", ":", "@", "\u017f", "\u212a", "A" * 20, "system:", "OR 1 = 1", "user:pw@", "postgres", "\t", "10.1"]
+    texts = ["".join(rng.choices(bits, k=rng.randrange(1, 6))) for _ in range(3000)] + ["postgres://u:p@h", "x9+a://u:p@h", "9://u:p@h", "xeyJabcde.abcde.", "eyJabc.eyJabcde.abcde.x", " \n \t system: x", "x system:"]
+    plain_classes = [(name, f"(?mdU){x}") for name, x in patterns().items()]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    want = F.filter(F.array(*(F.when(F.col("t").rlike(x), F.lit(n)) for n, x in plain_classes)), lambda x: x.isNotNull())
+    for r in df.select("t", p.raw_classes(F.col("t")).alias("got"), want.alias("want")).collect():
+        assert r.got == r.want, r.t
+
+
+@pytest.mark.parametrize("text", ["a" * 1_000_000, "eyJ" * 300_000, "\n" * 1_000_000, "a-" * 500_000 + "://"])
+def test_hostile_texts_are_read_once(spark, text):
+    start = time.perf_counter()
+    p.match_bytes(text.encode())
+    spark.createDataFrame([(text,)], "t string").select(p.raw_classes(F.col("t")).alias("c")).collect()
+    assert time.perf_counter() - start < 15

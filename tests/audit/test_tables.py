@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.contracts import ColumnContract, TableContract, check_policy_columns
+from tessera.contracts import ColumnContract, Limits, TableContract, check_policy_columns
 from tessera.errors import FindingError, InfraError, UsageError, gravest
 from tessera.functions import export
 from tessera.operators import findings, paging, profile, reconcile, schema
@@ -31,7 +31,7 @@ def test_audit_one_finding_per_value(spark):
     got = {(r.row, r.column): r for r in findings.audit(df, columns, F.col("id"), text=False).collect()}
     assert set(got) == {(2, "body"), (2, "n"), (3, "body"), (4, "body")}
     assert got[2, "body"].classes == ["sql", "shell"] and not got[2, "body"].escalate and got[2, "body"].sample_hex == b"a; drop".hex()
-    assert got[3, "body"].reason == "control character" and got[4, "body"].escalate
+    assert got[3, "body"].reason == "control character" and not got[4, "body"].escalate and got[2, "n"].escalate
     hits = findings.audit(df, columns, F.col("id"), text=False)
     assert {r.column: r.rows for r in findings.inventory(hits).collect()} == {"body": 3, "n": 1}
     assert findings.capped_samples(hits, 20).count() < hits.count()
@@ -39,6 +39,33 @@ def test_audit_one_finding_per_value(spark):
         findings.enforce(hits)
 
 
+def test_audit_decodes_walks_and_knows_the_incident(spark):
+    rows = [
+        (1, "fine", ["a", "b"], {"k": "v"}, (1, "x")),
+        (2, "%3Cscript%3E", ["a"], {}, (1, "x")),
+        (3, "PHNjcmlwdD4=", None, None, None),
+        (4, "the canary sings", ["a"], {"k": "<script"}, (1, "x")),
+        (5, "x" * 70, ["a", "b", "c", "d"], {"k": "a\x00b"}, (2, "$(id)")),
+        (6, None, ["ok", "<iframe src"], {"k": None}, (3, None)),
+    ]
+    df = spark.createDataFrame(rows, "id long, body string, tags array<string>, labels map<string,string>, pair struct<n:int,t:string>").withColumn("decoded_0", F.lit("x"))
+    columns = [ColumnContract("body", "Nullable(String)"), ColumnContract("tags", "Array(String)"), ColumnContract("labels", "Map(String, String)"), ColumnContract("pair", "Tuple(n Int32, t String)")]
+    hits = findings.audit(df, columns, F.col("id"), text=False, limits=Limits(max_field_bytes=64, max_elements=3), iocs=("canary",)).collect()
+    got = {(r.row, r.column): (r.reason, r.via) for r in hits}
+    assert got[2, "body"] == ("payload: html_js", ["percent"]) and got[3, "body"] == ("payload: html_js", ["base64"])
+    assert got[4, "body"] == ("payload: ioc_canary", ["raw"]) and got[4, "labels"] == ("payload: html_js", ["raw"])
+    assert got[5, "body"][0] == "too long" and got[5, "tags"][0] == "too many elements" and got[5, "labels"][0] == "control character" and got[5, "pair"][0].startswith("payload: shell")
+    assert got[6, "tags"][0] == "payload: html_js" and not any(k == 1 for k, _ in got) and (6, "body") not in got and (6, "pair") not in got
+
+
+def test_an_encoded_payload_is_not_published(spark, tmp_path):
+    contract = TableContract("t", (ColumnContract("id", "Int64"), ColumnContract("body", "String")))
+    df = spark.createDataFrame([(1, "%3Cscript%3E")], "id long, body string")
+    with pytest.raises(FindingError, match="html_js"):
+        publish.publish(df, contract, "/raw", f"{tmp_path}/out", key=F.col("id"), signed_off=True)
+    assert not (tmp_path / "out").exists()
+
+
 def test_profiles(spark):
     rng = random.Random(3)
     rows = [(rng.choice(["a", "bb", None, "é"]), rng.randrange(1000), "same") for _ in range(4000)]

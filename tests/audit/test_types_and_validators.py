@@ -69,7 +69,8 @@ def test_nested_opaque_and_packed(spark):
     df = spark.createDataFrame([([1, None],), ([1, 2, 3],), (None,)], "a array<int>")
     assert [r.r for r in df.select(v.nested_reason(F.col("a"), max_elements=2, nullable_elements=False).alias("r")).collect()] == ["null element", "too many elements", None]
     keys = spark.createDataFrame([("11111111111111111111111111111111",), ("",), ("0OIl",), ("2",)], "k string")
-    assert [r.r for r in keys.select(v.opaque(F.col("k"), 32).alias("r")).collect()] == [None, None, "not 32 bytes", "not 32 bytes"]
+    assert [r.r for r in keys.select(v.opaque(F.col("k"), 32, empty=True).alias("r")).collect()] == [None, None, "not 32 bytes", "not 32 bytes"]
+    assert [r.r for r in keys.select(v.opaque(F.col("k"), 32).alias("r")).collect()] == [None, "not 32 bytes", "not 32 bytes", "not 32 bytes"]
     packed = spark.createDataFrame([("AAAA",), ("AAA=",), ("",), ("AAAAA",)], "p string")
     assert [r.r for r in packed.select(v.packed_base64(F.col("p"), [3]).alias("r")).collect()] == [None, "not a packed value", None, "not a packed value"]
     times = spark.sql("select timestamp '2024-01-01 00:00:00.123456' as t union all select timestamp '2024-01-01 00:00:00.123'")
