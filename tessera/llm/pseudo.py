@@ -15,13 +15,19 @@ from tessera.llm._words import constants, mix, texts_of, words
 from tessera.llm._work import Workspace
 
 _U = np.uint64
+#: Greatest difference of two inputs to an exponential.
+_MOST = 60.0
 
 
 @dataclass(frozen=True)
 class Shape:
     """The ``own`` most frequent words are classes of their own, the others share the rest of ``classes`` by how
     frequent they are; the network sees ``side`` words on either side through ``hidden`` units. With ``buckets`` set,
-    words first fall into so many buckets by hash, which stand for words then."""
+    words first fall into so many buckets by hash, which stand for words then.
+
+    Classes are predicted in two steps, a group of classes of like frequency and a class in it, so that a word costs
+    twice the root of their number and not all of it.
+    """
 
     buckets: int | None = None
     classes: int = 256
@@ -29,9 +35,19 @@ class Shape:
     side: int = 2
     hidden: int = 32
 
+    @property
+    def groups(self) -> int:
+        return int(np.ceil(np.sqrt(self.classes)))
+
+    @property
+    def leaves(self) -> int:
+        """Classes of a group, as many in each but the last."""
+        return -(-self.classes // self.groups)
+
     @property
     def sizes(self) -> list[tuple[int, ...]]:
-        return [(2 * self.side, self.classes + 1, self.hidden), (self.hidden,), (self.hidden, self.classes), (self.classes,)]
+        g, n = self.groups, self.leaves
+        return [(2 * self.side, self.classes + 1, self.hidden), (self.hidden,), (self.hidden, g), (g,), (g, self.hidden, n), (g, n)]
 
 
 @dataclass
@@ -130,12 +146,17 @@ def count(docs: DataFrame, shape: Shape, work: Workspace) -> Vocabulary:
 
 def start_parameters(shape: Shape, vocab: Vocabulary) -> list[np.ndarray]:
     rng = np.random.default_rng(3)
-    embed, bias, out, base = (np.zeros(s, dtype=np.float32) for s in shape.sizes)
+    embed, bias, out, base, leaf_out, leaf_base = (np.zeros(s, dtype=np.float32) for s in shape.sizes)
     embed += rng.normal(0, 0.3, embed.shape)
     out += rng.normal(0, 0.1, out.shape)
-    n = vocab.mass + 1.0
-    base += np.log(n / n.sum())
-    return [embed, bias, out, base.astype(np.float32)]
+    leaf_out += rng.normal(0, 0.1, leaf_out.shape)
+    n = np.zeros(leaf_base.size)
+    n[: shape.classes] = vocab.mass + 1.0
+    n = n.reshape(leaf_base.shape)
+    base += np.log((n.sum(axis=1) + 1e-9) / n.sum())
+    # Places behind the last class are never a target.
+    leaf_base += np.where(n > 0, np.log(np.maximum(n, 1.0) / np.maximum(n.sum(axis=1, keepdims=True), 1.0)), -_MOST / 2)
+    return [embed, bias, out, base, leaf_out, leaf_base]
 
 
 def contexts(classes: np.ndarray, counts: np.ndarray, shape: Shape) -> np.ndarray:
@@ -148,38 +169,79 @@ def contexts(classes: np.ndarray, counts: np.ndarray, shape: Shape) -> np.ndarra
     return np.stack([padded[at + d] for d in range(-side, side + 1) if d])
 
 
-def forward(parameters: list[np.ndarray], around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    embed, bias, out, base = parameters
+def hidden_units(parameters: list[np.ndarray], around: np.ndarray) -> np.ndarray:
+    embed, bias = parameters[:2]
     total = embed[0][around[0]]
     for k in range(1, len(around)):
         total += embed[k][around[k]]
     total += bias
-    hidden = np.tanh(total, out=total)
-    return hidden, hidden @ out + base
+    return np.tanh(total, out=total)
 
 
-def bounded(parameters: list[np.ndarray], most: float = 60.0) -> list[np.ndarray]:
+def bounded(parameters: list[np.ndarray]) -> list[np.ndarray]:
     """Scaled so that no class's input can pass what exponentials of single precision hold."""
-    embed, bias, out, base = parameters
-    base = np.clip(base, -most / 2, most / 2)
-    reach = float(np.abs(out).sum(axis=0).max())
-    return [embed, bias, out * min(1.0, most / 2 / max(reach, 1e-9)), base]
+    embed, bias, out, base, leaf_out, leaf_base = parameters
+    half = _MOST / 2
 
+    def held(weights: np.ndarray) -> np.ndarray:
+        return weights * np.float32(min(1.0, half / max(float(np.abs(weights).sum(axis=-2).max()), 1e-9)))
 
-def train_step(parameters: list[np.ndarray], memory: list[np.ndarray], around: np.ndarray, target: np.ndarray, rate: float) -> None:
-    """One adaptive gradient step on a batch of windows, in place."""
-    embed, bias, out, base = parameters
-    hidden, z = forward(parameters, around)
+    return [embed, bias, held(out), np.clip(base, -half, half), held(leaf_out), np.clip(leaf_base, -half, half)]
+
+
+def _shares(z: np.ndarray) -> np.ndarray:
     z -= z.max(axis=1, keepdims=True)
     np.exp(z, out=z)
     z /= z.sum(axis=1, keepdims=True)
-    z[np.arange(len(target)), target] -= 1
-    z /= len(target)
-    back = (z @ out.T) * (1 - hidden * hidden)
+    return z
+
+
+def _by_group(group: np.ndarray, groups: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(group, its rows) of each group that has any."""
+    order = np.argsort(group, kind="stable")
+    bounds = np.searchsorted(group[order], np.arange(groups + 1))
+    for g in range(groups):
+        if bounds[g] < bounds[g + 1]:
+            yield g, order[bounds[g] : bounds[g + 1]]
+
+
+def log_shares(parameters: list[np.ndarray], hidden: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log probability of each target class: of its group, and of the class in it."""
+    _, _, out, base, leaf_out, leaf_base = parameters
+    group, leaf = np.divmod(target, leaf_base.shape[1])
+    z = hidden @ out + base
+    found = z[np.arange(len(z)), group].astype(np.float64) - np.log(np.exp(z, out=z).sum(axis=1))
+    for g, rows in _by_group(group, len(base)):
+        z = hidden[rows] @ leaf_out[g] + leaf_base[g]
+        found[rows] += z[np.arange(len(z)), leaf[rows]] - np.log(np.exp(z).sum(axis=1))
+    return found
+
+
+def train_step(parameters: list[np.ndarray], memory: list[np.ndarray], around: np.ndarray, target: np.ndarray, rate: float) -> None:
+    """One adaptive gradient step on a batch of windows, in place."""
+    embed, _, out, base, leaf_out, leaf_base = parameters
+    hidden, n = hidden_units(parameters, around), np.float32(len(target))
+    group, leaf = np.divmod(target, leaf_base.shape[1])
+    z = _shares(hidden @ out + base)
+    z[np.arange(len(z)), group] -= 1
+    z /= n
+    back, leaf_slope, leaf_base_slope = z @ out.T, np.zeros_like(leaf_out), np.zeros_like(leaf_base)
+    for g, rows in _by_group(group, len(base)):
+        own = hidden[rows]
+        y = _shares(own @ leaf_out[g] + leaf_base[g])
+        y[np.arange(len(y)), leaf[rows]] -= 1
+        y /= n
+        back[rows] += y @ leaf_out[g].T
+        leaf_slope[g], leaf_base_slope[g] = own.T @ y, y.sum(axis=0)
+    back *= 1 - hidden * hidden
     slope = np.zeros_like(embed)
     for k in range(len(around)):
-        np.add.at(slope[k], around[k], back)
-    for p, m, g in zip(parameters, memory, (slope, back.sum(axis=0), hidden.T @ z, z.sum(axis=0)), strict=True):
+        order = np.argsort(around[k], kind="stable")
+        own = around[k][order]
+        first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        slope[k][own[first]] = np.add.reduceat(back[order], first)
+    slopes = (slope, back.sum(axis=0), hidden.T @ z, z.sum(axis=0), leaf_slope, leaf_base_slope)
+    for p, m, g in zip(parameters, memory, slopes, strict=True):
         m += g * g
         p -= rate * g / np.sqrt(m + 1e-8)
 
@@ -247,13 +309,11 @@ class Model:
         classes = self.vocab.of_bucket[row]
         around, out = contexts(classes, counts, self.shape), self.vocab.within[row]
         for i in range(0, len(classes), piece):
-            _, z = forward(self.parameters, around[:, i : i + piece])
-            right = z[np.arange(len(z)), classes[i : i + piece]].astype(np.float64)
-            out[i : i + piece] += right - np.log(np.exp(z, out=z).sum(axis=1))
+            out[i : i + piece] += log_shares(self.parameters, hidden_units(self.parameters, around[:, i : i + piece]), classes[i : i + piece])
         return out
 
 
-def train(docs: DataFrame, *, shape: Shape = Shape(), rounds: int = 2, every: int = 1, batch_size: int = 256, rate: float = 0.05) -> Model:
+def train(docs: DataFrame, *, shape: Shape = Shape(), rounds: int = 1, every: int = 1, batch_size: int = 2048, rate: float = 0.05) -> Model:
     """Counts over all words, then ``rounds`` rounds of training on every word of every text (with ``every`` above 1, on one in so many)."""
     work = Workspace(docs.sparkSession, "pseudo")
     vocab = count(docs, shape, work)

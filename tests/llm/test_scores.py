@@ -78,14 +78,18 @@ def test_pseudo_likelihood_is_the_sum_over_positions(spark):
     hashes, counts = words(*texts(["a b c dd", "ee"]))
     got = model.log_probabilities(hashes, counts)
     bucket = pseudo.buckets(hashes, shape)
-    embed, bias, out, base = model.parameters
+    embed, bias, out, base, leaf_out, leaf_base = model.parameters
     classes = model.vocab.of_bucket[bucket].tolist()
     groups, want = [classes[:4], classes[4:]], []
     for group in groups:
         for i in range(len(group)):
             around = [group[j] if 0 <= j < len(group) else 12 for j in (i - 2, i - 1, i + 1, i + 2)]
-            z = np.tanh(sum(embed[k][c] for k, c in enumerate(around)) + bias) @ out + base
-            want.append(z[group[i]] - np.log(np.exp(z).sum()))
+            h = np.tanh(sum(embed[k][c] for k, c in enumerate(around)) + bias)
+            z = h @ out + base
+            y = [h @ leaf_out[g] + leaf_base[g] for g in range(4)]
+            shares = np.concatenate([np.exp(z[g]) / np.exp(z).sum() * np.exp(y[g]) / np.exp(y[g]).sum() for g in range(4)])
+            assert np.isclose(shares.sum(), 1) and len(shares) == 12
+            want.append(np.log(shares[group[i]]))
     assert np.allclose(got, np.array(want) + model.vocab.within[bucket], atol=1e-4)
     everything = np.bincount(model.vocab.of_bucket, np.exp(model.vocab.within), 12)
     assert np.allclose(everything[everything > 0], 1)
@@ -102,8 +106,7 @@ def test_training_lowers_the_loss():
     memory = [np.zeros_like(p) for p in parameters]
 
     def loss():
-        _, z = pseudo.forward(parameters, around)
-        return -(z[np.arange(len(z)), words_] - np.log(np.exp(z).sum(axis=1))).mean()
+        return -pseudo.log_shares(parameters, pseudo.hidden_units(parameters, around), words_).mean()
 
     before = loss()
     for _ in range(3):
