@@ -114,13 +114,24 @@ def write_shards(df: DataFrame, dimensions: list[str], out: str, *, shards: int
 
     The manifest has one row per shard: its number of rows and, per dimension,
     the least and greatest value and the hashed cells that occur (2**bits at
-    most), by which :func:`prune` finds the folders to read.
+    most), by which :func:`prune` finds the folders to read. Rows of one cell
+    are ordered by their hash, so that a crowded cell is dealt over tasks.
+
+    Every column is written, whatever its name; only ``shard`` is refused, for
+    it names the folders. A null dimension is in cell 0; repeated rows are all
+    written; an empty table writes no folder and gives an empty manifest.
     """
+    if "shard" in (c.lower() for c in df.columns):
+        raise ValueError("a column named shard would be lost to the folders' names")
     work = Workspace(df.sparkSession, "shards")
-    cut = cut_runs(hilbert_order(df, dimensions, bits=bits), ["curve"], shards, work)
-    cut.sortWithinPartitions("shard", "slot").drop("curve").write.partitionBy("shard").parquet(out)
-    stats = [f(c).alias(f"{n}_{c}") for c in dimensions for n, f in (("min", F.min), ("max", F.max))]
-    cells = [F.collect_set(_hashed(F.col(c), bits)).alias(f"cells_{c}") for c in dimensions if dict(df.dtypes)[c] in _HASHED]
+    own = {c: f"d{i}" for i, c in enumerate(dimensions)}
+    whole = [F.col(f"`{c}`") for c in df.columns]
+    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    packed = df.select(F.struct(*whole).alias("row"), F.xxhash64(*hashed).alias("tie"), *(F.col(f"`{c}`").alias(d) for c, d in own.items()))
+    cut = cut_runs(hilbert_order(packed, list(own.values()), bits=bits), ["curve", "tie"], shards, work)
+    cut.sortWithinPartitions("shard", "slot").select("row.*", "shard").write.partitionBy("shard").parquet(out)
+    stats = [f(d).alias(f"{n}_{c}") for c, d in own.items() for n, f in (("min", F.min), ("max", F.max))]
+    cells = [F.collect_set(_hashed(F.col(d), bits)).alias(f"cells_{c}") for c, d in own.items() if dict(df.dtypes)[c] in _HASHED]
     return work.keep(cut.groupBy("shard").agg(F.count("*").alias("n_rows"), *stats, *cells), "manifest")
 
 

@@ -113,3 +113,15 @@ def test_files_can_be_pruned(spark, tmp_path):
     few = hilbert.prune(manifest, n=(3, 6), lang="l2")
     where = (F.col("n").between(3, 6)) & (F.col("lang") == "l2")
     assert len(few) < 16 and back.filter(where).count() == back.filter(where & F.col("shard").isin(few)).count() == df.filter(where).count()
+
+
+def test_shard_files_keep_every_column_and_refuse_their_folders_name(spark, tmp_path):
+    names = "n int, curve string, slot int, row string, tie int, d0 int, _part string"
+    rows = [(i % 7 if i % 5 else None, "c", i, "r", 1, 2, "p") for i in range(200)] + [(3, "c", 5, "r", 1, 2, "p")] * 3
+    df = spark.createDataFrame(rows, names)
+    manifest = hilbert.write_shards(df, ["n"], f"file://{tmp_path}/out", shards=4)
+    back = spark.read.parquet(f"{tmp_path}/out").select(*df.columns)
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect())) and [r.n_rows for r in manifest.orderBy("shard").collect()] == [51, 51, 51, 50]
+    assert hilbert.write_shards(df.limit(0), ["n"], f"file://{tmp_path}/none", shards=4).count() == 0
+    with pytest.raises(ValueError, match="shard"):
+        hilbert.write_shards(df.withColumn("Shard", F.lit(1)), ["n"], f"file://{tmp_path}/no")
