@@ -7,10 +7,15 @@ from pyspark.sql import functions as F
 
 
 def float_bits(c: Column, width: int = 64) -> Column:
-    """The IEEE bits of a number as hex of fixed width; sign of zero and payload of NaN are kept."""
+    """The IEEE bits of a number as hex of fixed width; sign of zero and payload of NaN are kept; null stays null."""
+    # The method behind reflect() takes no null.
+    held = F.coalesce(c, F.lit(0.0))
     if width == 64:
-        return F.lpad(F.lower(F.hex(F.reflect(F.lit("java.lang.Double"), F.lit("doubleToRawLongBits"), c.cast("double")).cast("bigint"))), 16, "0")
-    return F.lpad(F.lower(F.hex(F.reflect(F.lit("java.lang.Float"), F.lit("floatToRawIntBits"), c.cast("float")).cast("int").cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")
+        bits = F.lpad(F.lower(F.hex(F.reflect(F.lit("java.lang.Double"), F.lit("doubleToRawLongBits"), held.cast("double")).cast("bigint"))), 16, "0")
+    else:
+        raw = F.reflect(F.lit("java.lang.Float"), F.lit("floatToRawIntBits"), held.cast("float")).cast("int").cast("bigint")
+        bits = F.lpad(F.lower(F.hex(raw.bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")
+    return F.when(c.isNotNull(), bits)
 
 
 def utc_text(c: Column, digits: int) -> Column:

@@ -69,23 +69,21 @@ def kmv_distinct(df: DataFrame, columns: list[str], k: int = 256) -> DataFrame:
 def frequent_values(df: DataFrame, columns: list[str], counters: int = 16) -> DataFrame:
     """column, value, count, overcount by space-saving sketches, one per task and column, merged per column.
 
-    ``count`` is at most ``overcount`` above the true one; every value more
-    frequent than rows / counters is there. A sketch has a fixed size, so the
-    merge holds ``counters`` entries per task and column.
+    ``count`` is never below the true one and at most ``overcount`` above it;
+    every value more frequent than rows / counters is there. A task's sketch
+    that is full may have seen any value that it lacks as often as its least
+    count, so that much is added for each sketch without the value.
     """
-    schema = "column string, value string, count long, overcount long"
-
-    def add(table: dict, floor: int, value: str, count: int, over: int) -> int:
-        if value in table:
-            c, o = table[value]
-            table[value] = (c + count, o + over)
-        elif len(table) < counters:
-            table[value] = (count + floor, over + floor)
+    schema = "column string, value string, count long, overcount long, floor long"
+    kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+
+    def add(table: dict, value: str, count: int) -> None:
+        if value in table or len(table) < counters:
+            c, o = table.get(value, (0, 0))
+            table[value] = (c + count, o)
         else:
-            least = min(table, key=lambda v: (table[v][0], v))
-            c, _ = table.pop(least)
-            table[value] = (c + count, c + over)
-        return floor
+            c, _ = table.pop(min(table, key=lambda v: (table[v][0], v)))
+            table[value] = (c + count, c)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables: list[dict] = [{} for _ in columns]
@@ -93,20 +91,21 @@ def frequent_values(df: DataFrame, columns: list[str], counters: int = 16) -> Da
             for i, table in enumerate(tables):
                 for pair in batch.column(i).value_counts().to_pylist():
                     if pair["values"] is not None:
-                        add(table, 0, pair["values"], pair["counts"], 0)
-        rows = [(c, v, n, o) for c, t in zip(columns, tables, strict=True) for v, (n, o) in t.items()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64()))], names=["column", "value", "count", "overcount"])
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables: dict[str, dict] = {}
-        for batch in batches:
-            for r in batch.to_pylist():
-                add(tables.setdefault(r["column"], {}), 0, r["value"], r["count"], r["overcount"])
-        rows = [(c, v, n, o) for c, t in tables.items() for v, (n, o) in t.items()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64()))], names=["column", "value", "count", "overcount"])
-
-    partial = df.select(*(F.col(c).cast("string").alias(c) for c in columns)).mapInArrow(sketch, schema)
-    return partial.repartition("column").sortWithinPartitions("column", F.desc("count"), "value").mapInArrow(merge, schema)
+                        add(table, pair["values"], pair["counts"])
+        rows = []
+        for column, table in zip(columns, tables, strict=True):
+            floor = min(c for c, _ in table.values()) if len(table) == counters else 0
+            rows += [(column, None, 0, 0, floor)] + [(column, v, c - floor, o - floor, 0) for v, (c, o) in table.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds)], names=["column", "value", "count", "overcount", "floor"])
+
+    partial = df.select(*(F.col(f"`{c}`").cast("string").alias(c) for c in columns)).mapInArrow(sketch, schema)
+    # One aggregation for both: the row without a value has the sum of all floors.
+    sums = partial.groupBy("column", "value").agg(F.sum("count").alias("count"), F.sum("overcount").alias("overcount"), F.sum("floor").alias("floor"))
+    whole = Window.partitionBy("column")
+    full = sums.withColumn("floor", F.max("floor").over(whole)).filter("value is not null")
+    full = full.select("column", "value", (F.col("count") + F.col("floor")).alias("count"), (F.col("overcount") + F.col("floor")).alias("overcount"))
+    rank = F.row_number().over(whole.orderBy(F.desc("count"), "value"))
+    return full.withColumn("rank", rank).filter(F.col("rank") <= counters).drop("rank")
 
 
 def content_checksum(df: DataFrame) -> DataFrame:

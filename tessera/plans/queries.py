@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import re
 import tempfile
 from collections.abc import Callable
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.contracts import ColumnContract, TableContract
+from tessera.errors import UsageError
 from tessera.functions import export
 from tessera.functions import validators as v
 from tessera.functions.catalogue import SECRETS, patterns
@@ -166,7 +168,13 @@ def date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reasons(table(spark, sf_dir, "lineitem"), v.calendar_date(F.date_format("l_shipdate", "yyyy-MM-dd"), "1993-01-01", "1996-12-31"))
 
 
-@register("float_bits_discount")
+_NIBBLE = " + ".join(f"{8 >> k} * cast(substr(b, 4 * i + {k + 1}, 1) as int)" for k in range(4))
+
+
+@register(
+    "float_bits_discount",
+    f"select l_orderkey, l_linenumber, l_discount, array_to_string(list_transform(range(0, 16), lambda i: substr('0123456789abcdef', 1 + {_NIBBLE}, 1)), '') as bits from (select *, cast(cast(l_discount as bit) as varchar) as b from lineitem)",
+)
 def float_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_discount", export.float_bits(F.col("l_discount")).alias("bits"))
 
@@ -322,7 +330,7 @@ def repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paging.adjacent_duplicates(table(spark, sf_dir, "lineitem"), "l_orderkey")
 
 
-@register("row_numbers")
+@register("row_numbers", "select o_orderkey, cast(row_number() over () as bigint) as row from orders")
 def row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paging.numbered(table(spark, sf_dir, "orders").select("o_orderkey", "_metadata")).select("o_orderkey", "row")
 
@@ -340,11 +348,12 @@ def two_pass_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.difference(first, second)
 
 
-@register("reconcile_counts", "select cast(count(*) as bigint) as streamed, cast(count(*) as bigint) as counted, true as agree from orders where o_orderdate < timestamp '1996-01-01'")
+@register("reconcile_counts", "select cast(count(*) as bigint) as streamed, cast(count(*) as bigint) as counted, true as agree from orders")
 def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").filter(F.col("o_orderdate") < F.lit(datetime.datetime(1996, 1, 1)))
-    streamed = profile.content_checksum(orders).select(F.col("rows").alias("streamed"))
-    return streamed.crossJoin(F.broadcast(orders.agg(F.count("*").alias("counted")))).withColumn("agree", F.col("streamed") == F.col("counted"))
+    """All columns of one read against the row count of another."""
+    streamed = profile.content_checksum(table(spark, sf_dir, "orders")).select(F.col("rows").alias("streamed"))
+    counted = table(spark, sf_dir, "orders").agg(F.count("*").alias("counted"))
+    return streamed.crossJoin(F.broadcast(counted)).withColumn("agree", F.col("streamed") == F.col("counted"))
 
 
 @register(
@@ -453,20 +462,29 @@ def provenance_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="tessera-")
-    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}-{spark._jvm.java.util.UUID.randomUUID()}"
+    """A new folder that all executors share, gone when the JVM ends; on one machine without such a setting a local one."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise UsageError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="tessera-")
+    out = f"{base.rstrip('/')}/{spark.sparkContext.applicationId}-{spark._jvm.java.util.UUID.randomUUID()}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(out)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return out
 
 
-@register("regenerate_roundtrip", "select n_nationkey, n_name, n_regionkey from nation")
+@register("regenerate_roundtrip", "select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer")
 def regenerate_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _scratch(spark)
-    publish.regenerate(table(spark, sf_dir, "nation"), out)
+    publish.regenerate(table(spark, sf_dir, "customer"), out, rows_per_file=400)
     return spark.read.parquet(out)
 
 
-@register("publish_manifest", "select 'nation' as \"table\", cast(count(*) as bigint) as rows, 'complete' as state from nation")
+_PUBLISHED = TableContract("lineitem", tuple(ColumnContract(n, t) for n, t in (("l_orderkey", "Int64"), ("l_partkey", "Int64"), ("l_suppkey", "Int64"), ("l_linenumber", "Int32"), ("l_quantity", "Float64"), ("l_extendedprice", "Float64"), ("l_discount", "Float64"), ("l_tax", "Float64"), ("l_returnflag", "String"), ("l_linestatus", "String"), ("l_shipdate", "DateTime64(6)"))))
+
+
+@register("publish_manifest", "select 'lineitem' as \"table\", cast(count(*) as bigint) as rows, 'complete' as state from lineitem")
 def publish_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation")
-    contract = TableContract("nation", (ColumnContract("n_nationkey", "Int32"), ColumnContract("n_name", "Nullable(String)", max_len=64), ColumnContract("n_regionkey", "Int32")))
-    done = publish.publish(nation, contract, f"{sf_dir}/nation.parquet", _scratch(spark), key=F.col("n_nationkey"), signed_off=True)
+    done = publish.publish(table(spark, sf_dir, "lineitem"), _PUBLISHED, f"{sf_dir}/lineitem.parquet", _scratch(spark), key=F.col("l_orderkey"), signed_off=True)
     return spark.createDataFrame([(done["table"], done["rows"], done["state"])], "table string, rows long, state string")

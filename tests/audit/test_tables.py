@@ -84,6 +84,27 @@ def test_profiles(spark):
     assert found["hot"]["count"] - found["hot"].overcount <= 1000 <= found["hot"]["count"]
 
 
+def test_merged_sketches_lose_no_frequent_value(spark):
+    # Evicted in the first task, which sees it first; counted in the second; more than rows / counters in all.
+    tasks = [["lost"] * 90 + [f"a{i % 16}" for i in range(1510)], [f"b{i % 40}" for i in range(1489)] + ["lost"] * 111]
+    df = spark.createDataFrame([(t, i, x) for t, task in enumerate(tasks) for i, x in enumerate(task)], "t int, i int, x string").repartitionByRange(2, "t").sortWithinPartitions("t", "i").select("x")
+    true = Counter(x for task in tasks for x in task)
+    found = {r.value: r for r in profile.frequent_values(df, ["x"]).collect()}
+    assert true["lost"] == 201 and "lost" in found and len(found) == 16
+    assert all(r["count"] - r.overcount <= true[v] <= r["count"] for v, r in found.items())
+
+
+def test_float_bits_and_checksums(spark):
+    import struct as packing
+
+    df = spark.createDataFrame([(0.1,), (-0.0,), (float("inf"),), (None,)], "x double")
+    got = [r.b for r in df.select(export.float_bits(F.col("x")).alias("b")).collect()]
+    assert got == [None if x is None else packing.pack(">d", x).hex() for x in (0.1, -0.0, float("inf"), None)]
+    table = spark.range(500).withColumn("s", F.col("id").cast("string"))
+    a, b = profile.content_checksum(table).first(), profile.content_checksum(table.orderBy(F.desc("id")).repartition(7)).first()
+    assert a == b and a.rows == 500 and profile.content_checksum(table.filter("id < 499")).first().xor != a.xor
+
+
 def test_pages_keep_key_groups_whole(spark):
     rng = random.Random(4)
     keys = sorted(rng.choice([1, 2, 3, 50, 51, 52, 53, 99]) for _ in range(300))
