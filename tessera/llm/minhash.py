@@ -180,8 +180,8 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
     what that links becomes one class. Then only members of different classes
     are paired, and of these only pairs whose elements that no other member
     holds still allow the threshold: a near miss of a crowd differs from all of
-    it by its own edits, so it leaves here uncompared. While more pairs are left
-    than a few for each member, members are held against 2, 4, 8 and so on
+    it by its own edits, so it leaves here uncompared. While buckets still make
+    more than 64 pairs for each member, members are held against 2, 4, 8 and so on
     further centres of their buckets, which merges classes; at last all that are
     left are compared. So no link between classes is lost.
 
@@ -251,7 +251,7 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
     alone = alone.groupBy("m").agg(F.count("*").alias("n"), F.min("node").alias("node")).filter("n = 1").groupBy("node").agg(F.count("*").alias("alone"))
     classed = classed.join(alone, "node", "left").withColumn("reach", F.col("size") - F.coalesce("alone", F.lit(0))).drop("alone").filter(F.col("reach") >= threshold * F.col("size") - 1e-9)
     classed = work.keep(classed, "open-0")
-    most, used = 4 * members.count(), None
+    most, used = 64 * members.count(), None
     while True:
         opened = work.keep(open_buckets(classed, met), f"open-buckets-{turn}")
         left = opened.agg(F.coalesce(F.sum("left"), F.lit(0))).first()[0]
@@ -270,7 +270,14 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
     if left:
         rest = work.keep(across(classed.filter("class != main"), classed).join(tried, ["a", "b"], "left_anti"), "rest")
         links = links.unionByName(work.keep(verified(rest), "links-rest"))
-    final = work.keep(connected_components(links, work, "last"), "final")
+    # Links inside a class need no more work; components are sought among classes that a link joins, mostly few or none.
+    known = work.keep(near_classes(links), "classes-last")
+    between = links.join(known.select(F.col("node").alias("a"), F.col("class").alias("x")), "a").join(known.select(F.col("node").alias("b"), F.col("class").alias("y")), "b")
+    between = work.keep(between.filter("x != y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "between")
+    final = known.withColumnRenamed("class", "component")
+    if not between.isEmpty():
+        joined = work.keep(connected_components(between, work, "last"), "joined").select(F.col("node").alias("class"), "component")
+        final = known.join(joined, "class", "left").select("node", F.coalesce("component", "class").alias("component"))
     work.drop("buckets", "members", "weighted", "sets")
     placed = reps.select("key1", "key2", "size", "doc", "node").join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = placed.groupBy("component").agg(F.min("doc").alias("smallest"))
