@@ -130,8 +130,11 @@ def train(docs: DataFrame, labels: DataFrame, target: str, usable: Column, *, mo
 
     Toxic text is what toxic documents hold ``times`` as often as ordinary
     ones, in at least 3 different surroundings or, with many documents, twice
-    the decimal logarithm of their number. A quarter of the documents,
-    by hashed id, is kept for calibration; their few features come to the driver.
+    the decimal logarithm of their number. The dictionaries have bounds of
+    their own: the 2,000 such words with most uses, each given to the trainer
+    40 times at most, and 3,000 pieces of 150 words of ordinary text, by hash. A
+    quarter of the documents, by hashed id, is kept for calibration; their few
+    features come to the driver.
     """
     spark = docs.sparkSession
     work = Workspace(spark, "toxicity")
