@@ -95,7 +95,8 @@ def band_hashes(signatures: np.ndarray, banding: Banding) -> np.ndarray:
 
 def shingle_sets(column: pa.Array, size: int, weighting: str) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first row, distinct shingles, their weights, number per row) for runs of rows."""
-    for first, data, offsets in texts_of(column):
+    # A megabyte of text makes about a hundred of darts.
+    for first, data, offsets in texts_of(column, 1_000_000):
         values, runs = shingles(*words(data, offsets), size)
         sets, weights = [], []
         for part in np.split(values, np.cumsum(runs)[:-1]):
