@@ -11,7 +11,7 @@ from tessera.llm._work import Workspace, fresh
 #: Tables of at most so many rows (of a few numbers) are sent to every task instead of shuffled.
 BROADCAST_ROWS = 500_000
 #: Tokens are counted in so many hashed cells; a cell's count tells how rare its tokens are, whatever the input's size.
-CELLS = 1 << 18
+CELLS = 1 << 16
 #: White space of one byte and of more, but for the line feed, which ends a line, and the space itself.
 _WHITE = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
 _WIDE_WHITE = "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
@@ -53,16 +53,16 @@ def with_tokens(lines: DataFrame, size: int) -> DataFrame:
 
 
 def rarity(tokens: DataFrame) -> Column:
-    """An array over all cells: eight times the binary logarithm of how many of the tokens fall into a cell, in the upper byte of a long."""
+    """An array over all cells: eight times the binary logarithm of how many of the tokens fall into a cell, as a byte."""
     counted = tokens.groupBy(F.col("token").bitwiseAND(F.lit(CELLS - 1)).alias("cell")).agg(F.count("*").alias("n")).toArrow()
     ranks = np.zeros(CELLS, dtype=np.int64)
     ranks[counted.column("cell").to_numpy()] = np.minimum(8 * np.log2(counted.column("n").to_numpy()), 127)
-    return F.split(F.lit(",".join(map(str, (ranks << 56).tolist()))), ",").cast("array<bigint>")
+    return F.split(F.lit(",".join(map(str, ranks.tolist()))), ",").cast("array<tinyint>")
 
 
 def ordered(tokens: Column, ranks: Column) -> Column:
     """The tokens in one order for all lines, rare ones first; ties by hash. An element's upper byte is its rank, the others are the token's."""
-    return F.sort_array(F.transform(tokens, lambda x: F.get(ranks, x.bitwiseAND(F.lit(CELLS - 1)).cast("int")).bitwiseOR(F.shiftrightunsigned(x, 8))))
+    return F.sort_array(F.transform(tokens, lambda x: F.shiftleft(F.get(ranks, x.bitwiseAND(F.lit(CELLS - 1)).cast("int")).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(x, 8))))
 
 
 def _prefix(n: Column, threshold: float) -> Column:
