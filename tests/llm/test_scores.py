@@ -1,6 +1,7 @@
 """Classifiers by held-out accuracy, the language model by its own definition."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -140,3 +141,20 @@ def test_counts_are_those_of_real_words(spark):
     assert np.allclose(share[[rare, single, twice]], [4, 1, 2])
     total = np.append(share[:-1], share[-1] * 60_006)
     assert np.isclose(total.sum(), sum(len(x.split()) for x in data + data[:6]))
+
+
+def test_indicators_take_little_memory_whatever_the_batch():
+    rng = random.Random(8)
+    known = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9))) for _ in range(3000)]
+    data = [" ".join(rng.choice(known) for _ in range(500)) for _ in range(1300)]
+    tracemalloc.start()
+    made = 0
+    for start, rows in nbsvm.indicators(pa.array(data)):
+        assert start == made
+        made += len(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert made == len(data) and peak < 60e6
+    alone = [next(nbsvm.indicators(pa.array([t])))[1][0] for t in data[:40]]
+    together = [r for _, rows in nbsvm.indicators(pa.array(data[:40])) for r in rows]
+    assert all((a == b).all() for a, b in zip(alone, together, strict=True))
