@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -163,6 +164,32 @@ def near_classes(links: DataFrame) -> DataFrame:
     return label.select(F.col("a").alias("node"), "class")
 
 
+def edits(rows: DataFrame, threshold: float) -> DataFrame:
+    """``rows`` (size, alone, other, shared: of a set, of its elements that nobody else holds, of its bucket's head, of both) with gone, new, need, over.
+
+    Against its head, a set lacks ``gone`` elements and has others, of which
+    ``new`` may be in further sets. Two sets x and y of one head have
+    the threshold only if the edits that they share, at most min(gone) + min(new),
+    are need(x) + need(y) or more. That sum is also over(x) + least(y), where
+    ``over`` is what x lacks of a link with the head, above 0 without that link,
+    and ``least`` a weighted mean of y's edits, never below 0.
+    """
+    k = threshold / (1 + threshold)
+    gone, fresh = F.col("other") - F.col("shared"), F.col("size") - F.col("shared")
+    made = {"gone": gone, "new": fresh - F.col("alone"), "need": k * F.col("size") + F.col("other") / 2 - F.col("shared"), "over": k * (F.col("size") + F.col("other")) - F.col("shared")}
+    return rows.withColumns(made | {"least": k * fresh + (1 - k) * gone})
+
+
+def sharing(rows: DataFrame) -> DataFrame:
+    """Those of :func:`edits` that may still pair with one of their bucket: a pair whose sets are both linked with the head
+    needs no comparison, so one of the two is not, and the other has edits enough for the smallest ``over`` of those."""
+    short = rows.filter(~F.col("linked")).groupBy("bucket").agg(F.min("over").alias("short"))
+    able = F.col("gone") + F.col("new") >= F.col("short") + F.col("least") - 1e-9
+    rows = rows.join(short, "bucket").withColumn("able", able).filter(F.col("able") | ~F.col("linked"))
+    paired = rows.groupBy("bucket").agg(F.max("able").alias("any")).filter("any").select("bucket")
+    return rows.join(paired, "bucket", "left_semi").drop("head", "other", "shared", "alone", "linked", "over", "least", "short", "able")
+
+
 def _sent(df: DataFrame) -> DataFrame:
     """Broadcast if it is small enough, by count; else left to a shuffled join."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
@@ -177,11 +204,12 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
     stands in the text; "set" weighs all alike.
 
     Equal sets are merged before any pairing. A bucket of two is a pair; in a
-    larger one every member is first held against its likeliest centre, and
-    what that links becomes one class. Then only members of different classes
-    are paired, and of these only pairs whose elements that no other member
-    holds still allow the threshold: a near miss of a crowd differs from all of
-    it by its own edits, so it leaves here uncompared. While buckets still make
+    larger one every member is first held against its likeliest centre, then
+    against the head of each of its buckets, and what that links becomes one
+    class. Then only members of different classes are paired, and of these only
+    those whose edits against the head still allow the threshold (see
+    :func:`edits`): two near misses of a crowd must share edits, so one that
+    no other member shares edits with leaves here uncompared. While buckets still make
     more than 64 pairs for each member, members are held against 2, 4, 8 and so on
     further centres of their buckets, which merges classes; at last all that are
     left are compared. So no link between classes is lost.
@@ -228,8 +256,8 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
 
     def across(left: DataFrame, right: DataFrame) -> DataFrame:
         """Pairs of one bucket and two classes that may still reach the threshold; each pair once."""
-        other = right.select("bucket", *(F.col(c).alias(f"{c}_") for c in ("node", "size", "class", "reach")))
-        able = alike("size", "size_") & (F.least("reach", "reach_") >= threshold / (1 + threshold) * (F.col("size") + F.col("size_")) - 1e-9)
+        other = right.select("bucket", *(F.col(c).alias(f"{c}_") for c in ("node", "size", "class", "need", "gone", "new")))
+        able = alike("size", "size_") & (F.least("gone", "gone_") + F.least("new", "new_") >= F.col("need") + F.col("need_") - 1e-9)
         pairs = left.join(other, "bucket").filter(able & (F.col("class") != F.col("class_")))
         return pairs.select(F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b")).distinct()
 
@@ -240,18 +268,28 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
         return each.filter((F.col("n") > F.col("most.n")) & (F.col("n") > met + 1)).select("bucket", "n", F.col("most.class").alias("main"), ((F.col("n") - F.col("most.n")) * F.col("n")).alias("left"))
 
     def reclassed(rows: DataFrame) -> DataFrame:
-        known = work.keep(near_classes(links), f"classes-{turn}")
+        known = work.keep(near_classes(links), f"classes-{next(named)}")
         return rows.drop("class").join(known, "node", "left").withColumn("class", F.coalesce("class", "node"))
 
-    turn, met = 0, 0
+    turn, met, named = 0, 0, count()
     links = work.keep(verified(tried), "links-0")
     classed = work.keep(reclassed(members.select("bucket", "node", "size", "weight").withColumn("class", F.col("node"))), "classed-0")
     classed = classed.join(open_buckets(classed, 0).select("bucket"), "bucket", "left_semi")
     # Elements that no other open member holds can't be shared with any of them.
     alone = sets.join(classed.select("node").distinct(), "node", "left_semi").select("node", F.explode("members").alias("m"))
     alone = alone.groupBy("m").agg(F.count("*").alias("n"), F.min("node").alias("node")).filter("n = 1").groupBy("node").agg(F.count("*").alias("alone"))
-    classed = classed.join(alone, "node", "left").withColumn("reach", F.col("size") - F.coalesce("alone", F.lit(0))).drop("alone").filter(F.col("reach") >= threshold * F.col("size") - 1e-9)
-    classed = work.keep(classed, "open-0")
+    classed = classed.join(alone, "node", "left").withColumn("alone", F.coalesce("alone", F.lit(0))).filter(F.col("size") - F.col("alone") >= threshold * F.col("size") - 1e-9)
+    classed = work.keep(classed, "reaching")
+    head = classed.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("h")).select("bucket", (-F.col("h.minus")).alias("head"))
+    classed = classed.join(head, "bucket")
+    left, right = sets.select("node", F.col("members").alias("x")), sets.select(F.col("node").alias("head"), F.col("members").alias("y"))
+    near = classed.select("node", "head").distinct().join(left, "node").join(right, "head")
+    near = work.keep(near.select("node", "head", F.size("y").alias("other"), F.size(F.array_intersect("x", "y")).alias("shared")), "near")
+    linked = F.col("shared") >= threshold * (F.col("size") + F.col("other") - F.col("shared"))
+    classed = work.keep(edits(classed.join(near, ["node", "head"]).withColumn("linked", linked), threshold), "edits")
+    met_heads = classed.filter(F.col("linked") & (F.col("node") != F.col("head"))).select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
+    links = links.unionByName(work.keep(met_heads, "links-heads"))
+    classed = work.keep(reclassed(sharing(classed)), "open-0")
     most, used = 64 * members.count(), None
     while True:
         opened = work.keep(open_buckets(classed, met), f"open-buckets-{turn}")

@@ -1,8 +1,10 @@
 """Signatures against the similarity they stand for, components against all pairs."""
 
+from itertools import combinations
+
 import numpy as np
 import pytest
-from brute import components, near_links, shingles
+from brute import components, jaccard, near_links, shingles
 
 from tessera.llm import components as graph
 from tessera.llm import minhash
@@ -78,3 +80,40 @@ def test_crowds_of_near_misses(spark):
     got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     want = expected(rows, "count")
     assert 1 < len(set(want.values())) < 60 and got == want
+
+
+def test_crowd_members_without_common_edits_are_not_compared(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(0, " ".join(f"w{j}" for j in range(120)))]
+    for i in range(1, 121):
+        words = [f"w{j}" for j in range(120)]
+        for j in rng.choice(120, 1 if i % 2 else 3, replace=False):
+            words[j] = f"x{i}y{j}" if i % 2 else f"s{j}"
+        rows.append((i, " ".join(words)))
+    kept, keep = {}, Workspace.keep
+    monkeypatch.setattr(Workspace, "keep", lambda self, df, name: kept.setdefault(name, keep(self, df, name)))
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = {k: shingles(t) for k, t in rows}
+    want = components(sets, [(a, b) for a, b in combinations(sets, 2) if jaccard(sets[a], sets[b]) >= 0.8])
+    assert 1 < len(set(want.values())) and got == want
+    # 60 members have one edit each, their own, and 60 have three that others have too: pairs of one of each, 2,615 of 3,650 in shared buckets, need no comparison.
+    assert kept["rest"].count() < 2000
+
+
+def test_sharing_loses_no_pair(spark):
+    rng = np.random.default_rng(6)
+    centre = set(range(60))
+    sets = [centre] + [(centre - set(rng.choice(60, rng.integers(0, 14)).tolist())) | set(rng.choice(np.arange(100, 120), rng.integers(0, 12)).tolist()) | {1000 + i} for i in range(80)]
+    rows = []
+    for i, s in enumerate(sets):
+        alone = len(s - set().union(*(t for j, t in enumerate(sets) if j != i)))
+        both = len(s & centre)
+        rows.append((7, i, 0, len(s), alone, 60, both, both >= 0.8 * (len(s) + 60 - both)))
+    df = spark.createDataFrame(rows, "bucket long, node long, head long, size int, alone int, other int, shared int, linked boolean")
+    left = {r.node: r for r in minhash.sharing(minhash.edits(df, 0.8)).collect()}
+    linked = {r[1] for r in rows if r[7]}
+    pairs = [(a, b) for a, b in combinations(range(len(sets)), 2) if not {a, b} <= linked and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert pairs and 0 < len(left) < len(sets)
+    for a, b in pairs:
+        x, y = left[a], left[b]
+        assert min(x.gone, y.gone) + min(x.new, y.new) >= x.need + y.need - 1e-9
