@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm._work import Workspace, fresh
@@ -12,6 +14,8 @@ from tessera.llm._work import Workspace, fresh
 BROADCAST_ROWS = 500_000
 #: Tokens are counted in so many hashed cells; a cell's count tells how rare its tokens are, whatever the input's size.
 CELLS = 1 << 16
+#: Bits of a token in the first pass that are not its first word's, and a number that is no token.
+_LOW, _NONE = (1 << 40) - 1, (1 << 63) - 1
 #: White space of one byte and of more, but for the line feed, which ends a line, and the space itself.
 _WHITE = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
 _WIDE_WHITE = "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
@@ -23,9 +27,10 @@ def _sent(df: DataFrame) -> DataFrame:
 
 def _white(text: Column) -> Column:
     """All white space but line feeds as spaces. Few texts hold any other, and bytes are found far faster than patterns."""
-    holds = lambda chars: F.exists(F.array(*map(F.lit, chars)), lambda x: F.contains(text, x))
-    wide = F.octet_length(text) != F.length(text)
-    return F.when(holds(_WHITE) | (wide & holds(_WIDE_WHITE)), F.regexp_replace(text, f"[{_WHITE}{_WIDE_WHITE}]", " ")).otherwise(text)
+    holds = lambda where, parts: F.exists(F.array(*map(F.lit, parts)), lambda x: F.contains(where, x))
+    leads = sorted({x.encode()[:1] for x in _WIDE_WHITE})
+    wide = (F.octet_length(text) != F.length(text)) & holds(text.cast("binary"), leads) & holds(text, _WIDE_WHITE)
+    return F.when(holds(text, _WHITE) | wide, F.regexp_replace(text, f"[{_WHITE}{_WIDE_WHITE}]", " ")).otherwise(text)
 
 
 def _placed(docs: DataFrame) -> DataFrame:
@@ -42,14 +47,48 @@ def _words(line: str = "line") -> Column:
     return F.array_remove(F.split(F.lower(line), " "), "")
 
 
+def _hashed(lines: DataFrame) -> DataFrame:
+    """``line`` replaced by ``h``: a hash of each word, lower-cased. A column of its own, for inside a lambda lines would be cut again for every run."""
+    return lines.withColumn("h", F.transform(_words(), lambda x: F.xxhash64(x))).drop("line")
+
+
+def _runs(size: int, made: Callable[[Column, Column], Column]) -> Column:
+    """``made`` of the first word and the whole run's hash for each run of ``size`` words in ``h``, which has as many or more."""
+    runs = lambda h: F.transform(F.slice(h, F.lit(1), F.size(h) - size + 1), lambda x, i: made(x, F.xxhash64(x, *(F.get(h, i + k) for k in range(1, size)))))
+    # The array around the hashes makes them the lambda's variable; as a column they would be taken from the row for every word of a run.
+    return F.get(F.transform(F.array("h"), runs), F.lit(0))
+
+
+def _short(n: Column) -> Column:
+    """The token of a line of fewer words than a run. Their number goes into it, so that no run of a longer line has the same hash."""
+    return F.when(n > 0, F.array(F.xxhash64(n, F.col("h"))))
+
+
 def with_tokens(lines: DataFrame, size: int) -> DataFrame:
     """``line`` replaced by ``t``: distinct hashes of its runs of ``size`` words, lower-cased, ascending; one of all words of a shorter line; null without words."""
-    # The words are a column of their own: inside a lambda they would be cut again for every run, above a filter once more.
-    cut = lines.withColumn("w", _words()).drop("line")
-    runs = F.transform(F.sequence(F.lit(0), F.size("w") - size), lambda i: F.xxhash64(*(F.get(F.col("w"), i + k) for k in range(size))))
-    # The number of words goes into a short line's token, so that no run of a longer line has the same hash.
-    tokens = F.when(F.size("w") >= size, F.sort_array(F.array_distinct(runs))).when(F.size("w") > 0, F.array(F.xxhash64(F.size("w"), F.col("w"))))
-    return cut.withColumn("t", tokens).drop("w")
+    cut, n = _hashed(lines), F.size("h")
+    whole = F.sort_array(F.array_distinct(_runs(size, lambda first, run: run)))
+    return cut.withColumn("t", F.when(n >= size, whole).otherwise(_short(n))).drop("h")
+
+
+def with_prefix(lines: DataFrame, size: int, threshold: float) -> DataFrame:
+    """``line`` replaced by n, its number of words; k1 and k2, hashes of all its words; and ``prefix``, as many tokens as a partner must share one of, or more.
+
+    Here a run's upper 24 bits are its first word's and the others its own hash, and tokens go by these numbers. So as many
+    different first words as the prefix is long, taken in their order, hold all of it, and no other run needs to be hashed.
+    """
+    n = F.size("h")
+    length = _prefix(n - size + 1, threshold)
+    cut = _hashed(lines).withColumn("first", F.when(n >= size, F.sort_array(F.array_distinct(F.slice("h", F.lit(1), n - size + 1)))))
+    cut = cut.withColumn("last", F.get("first", F.least(length, F.size("first")) - 1).bitwiseOR(F.lit(_LOW)))
+    # Runs beyond the last first word are the greatest number, which no token is.
+    token = lambda first, run: F.least(first.bitwiseAND(F.lit(~_LOW)).bitwiseOR(run.bitwiseAND(F.lit(_LOW))), F.lit(_NONE - 1))
+    # Last is a lambda's variable too, or it would be looked up in its array for every run.
+    found = F.transform(F.array("last"), lambda last: _runs(size, lambda first, run: F.when(first <= last, token(first, run)).otherwise(F.lit(_NONE))))
+    runs = F.array_remove(F.array_distinct(F.get(found, F.lit(0))), _NONE)
+    prefix = F.when(n >= size, F.slice(F.sort_array(runs), F.lit(1), length)).otherwise(_short(n))
+    kept = [F.col(f"`{c}`") for c in lines.columns if c != "line"]
+    return cut.select(*kept, n.alias("n"), F.xxhash64("h").alias("k1"), F.xxhash64(F.lit(1), F.reverse("h")).alias("k2"), prefix.alias("prefix"))
 
 
 def rarity(tokens: DataFrame) -> Column:
@@ -75,8 +114,8 @@ def duplicate_lines(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
 
     Earlier means by (doc_id, line_no). A line's tokens are its distinct runs of
     ``shingle_words`` words, cut at any white space; a shorter line has one
-    token of all its words; a line without words has none and stays. Equal sets
-    are taken as one. Lines whose prefixes under one fixed order share no token
+    token of all its words; a line without words has none and stays. Lines of
+    equal words are taken as one. Lines whose prefixes under one fixed order share no token
     cannot match and leave; a token that two lines share makes their pair where
     it is counted. Lines with a token of more holders are ordered from rare
     tokens to common ones among all of them, and meet only in the prefixes of
@@ -94,9 +133,8 @@ def duplicate_lines(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
     placed = _placed(docs)
     place = F.struct("doc", "tk", "line_no")
     # Lines without tokens leave after the write: a filter here would have Spark cut every line once more.
-    made = with_tokens(placed.select("doc", "tk", _cut(F.col("text"))), shingle_words)
-    made = made.select("doc", "tk", "line_no", F.size("t").alias("n"), F.xxhash64("t").alias("k1"), F.xxhash64(F.lit(1), F.reverse("t")).alias("k2"), F.slice("t", F.lit(1), _prefix(F.size("t"), threshold)).alias("prefix"))
-    made = work.keep(made, "made").filter("n > 0")
+    every = work.keep(with_prefix(placed.select("doc", "tk", _cut(F.col("text"))), shingle_words, threshold), "made")
+    made = every.filter("n > 0")
     own = made.select("doc", "tk", "line_no", "k1", "k2")
     again = own.groupBy("k1", "k2").agg(F.count("*").alias("times")).filter("times > 1").select("k1", "k2")
     equal = work.keep(own.join(_sent(work.keep(again, "again")), ["k1", "k2"]), "equal")
@@ -107,55 +145,58 @@ def duplicate_lines(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
         """Whether lengths n and m, and ``left`` tokens that neither has passed yet, still allow the threshold."""
         return (F.least(n, m) >= threshold * F.greatest(n, m) - 1e-9) & (left >= (n + m) * (threshold / (1 + threshold)) - 1e-9)
 
-    # Sets go by k1 here; should two of them share it, both are read below, and k2 tells them apart.
+    # Lines go by k1 here; should two of them share it, both are read below, and k2 tells them apart.
     posted = made.select("k1", F.explode("prefix").alias("token"))
     shared = work.keep(posted.groupBy("token").agg(F.count("*").alias("c"), F.min("k1").alias("a"), F.max("k1").alias("b")).filter("a < b"), "shared")
     twos = work.keep(shared.filter("c = 2").select("a", "b").distinct(), "twos")
     crowd = work.keep(posted.join(_sent(shared.filter("c > 2").select("token")), "token").select("k1").distinct().withColumn("crowd", F.lit(True)), "crowd")
 
-    # The lines that may match are cut again, and only they; of equal ones the first.
+    # The lines that may match are cut again, and only they; of equal ones the first. Their ids ascend as they stand.
     ends = twos.select(F.col("a").alias("k1")).unionByName(twos.select(F.col("b").alias("k1"))).distinct()
     chosen = crowd.join(ends, "k1", "full").select("k1", F.coalesce("crowd", F.lit(False)).alias("crowd"))
-    chosen = own.join(_sent(work.keep(chosen, "chosen")), "k1").groupBy("k1", "k2", "crowd").agg(F.min(place).alias("at"))
-    chosen = work.keep(chosen.select("k1", "crowd", "at.*").withColumn("id", F.monotonically_increasing_id()), "sets")
+    chosen = own.join(_sent(work.keep(chosen, "chosen")), "k1").groupBy("k1", "k2", "crowd").agg(F.min(place).alias("at")).select("k1", "crowd", "at.*")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chosen = chosen.repartitionByRange(tasks, "doc", "tk", "line_no").sortWithinPartitions("doc", "tk", "line_no")
+    chosen = work.keep(chosen.withColumn("id", F.monotonically_increasing_id()), "sets")
     listed = F.map_from_entries(F.collect_list(F.struct("line_no", F.struct("id", "k1", "crowd"))))
     wanted = work.keep(chosen.groupBy("doc", "tk").agg(listed.alias("ids")), "wanted")
-    texts = placed.join(_sent(wanted), ["doc", "tk"]).select("doc", "tk", "ids", _cut(F.col("text")))
-    texts = texts.select(F.col("ids")[F.col("line_no")].alias("of"), "doc", "tk", "line_no", "line").filter("of is not null")
-    # Repeated rows make a line more than once.
-    whole = with_tokens(texts, shingle_words).groupBy("of.id").agg(F.first("of").alias("of"), F.first(place).alias("at"), F.first("t").alias("t"))
-    whole = work.keep(whole.select("of.*", "at", "t"), "whole")
+    # Of repeated rows one is cut; a table without any is neither shuffled nor read once more.
+    copies = work.keep(every.filter("line_no = 0").groupBy("doc", "tk").agg(F.count("*").alias("times")).filter("times > 1").select("doc", "tk"), "copies")
+    if not copies.isEmpty():
+        rows = _sent(copies)
+        placed = placed.join(rows, ["doc", "tk"], "left_anti").unionByName(placed.join(rows, ["doc", "tk"], "left_semi").groupBy("doc", "tk").agg(F.first("text").alias("text")))
+    texts = placed.join(_sent(wanted), ["doc", "tk"]).select("ids", _cut(F.col("text")))
+    texts = texts.select(F.col("ids")[F.col("line_no")].alias("of"), "line").filter("of is not null")
+    whole = work.keep(with_tokens(texts, shingle_words).select("of.*", "t"), "whole")
     key = whole.select("k1", "id")
     twos = twos.join(key.select(F.col("k1").alias("a"), F.col("id").alias("x")), "a").join(key.select(F.col("k1").alias("b"), F.col("id").alias("y")), "b")
     twos = twos.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
     crowded = whole.filter("crowd")
     ranks = rarity(crowded.select(F.explode("t").alias("token")))
-    crowded = crowded.select("id", "at", F.size("t").alias("n"), ordered(F.col("t"), ranks).alias("t"))
-    entries = crowded.select("id", "at", "n", F.posexplode(F.slice("t", F.lit(1), _prefix(F.col("n"), threshold))).alias("pos", "token"))
-    entries = work.keep(entries, "entries")
-    heads = entries.groupBy("token").agg(F.count("*").alias("c"), F.min(F.struct("at", "id", "n", "pos")).alias("h")).filter("c > 1").select("token", "h")
-    entries = work.keep(entries.join(heads, "token"), "held")
+    crowded = crowded.select("id", F.size("t").alias("n"), ordered(F.col("t"), ranks).alias("t"))
+    entries = crowded.select("id", "n", F.posexplode(F.slice("t", F.lit(1), _prefix(F.col("n"), threshold))).alias("pos", "token"))
+    holders = Window.partitionBy("token").orderBy("id")
+    entries = entries.withColumns({"h": F.first(F.struct("id", "n", "pos")).over(holders), "next": F.lead("id").over(holders)})
+    entries = work.keep(entries.filter("id != h.id or next is not null").drop("next"), "held")
     tried = entries.filter((F.col("id") != F.col("h.id")) & alike(F.col("n"), F.col("h.n"), F.least(F.col("n") - F.col("pos"), F.col("h.n") - F.col("h.pos"))))
-    tried = tried.select(F.least("id", "h.id").alias("a"), F.greatest("id", "h.id").alias("b")).unionByName(twos).distinct()
-    tried = work.keep(tried, "tried")
+    tried = work.keep(tried.select(F.col("h.id").alias("a"), F.col("id").alias("b")).unionByName(twos).distinct(), "tried")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """id of the later line of each pair whose sets reach the threshold."""
-        left = whole.select(F.col("id").alias("a"), F.col("at").alias("x_at"), F.col("t").alias("x"))
-        right = whole.select(F.col("id").alias("b"), F.col("at").alias("y_at"), F.col("t").alias("y"))
+        left = _sent(pairs).join(whole.select(F.col("id").alias("a"), F.col("t").alias("x")), "a")
+        right = whole.select(F.col("id").alias("b"), F.col("t").alias("y")).join(_sent(pairs.select("b").distinct()), "b", "left_semi")
         both = F.size(F.array_intersect("x", "y"))
-        joined = pairs.join(left, "a").join(right, "b").filter(both >= threshold * (F.size("x") + F.size("y") - both) - 1e-9)
-        return joined.select(F.when(F.col("x_at") > F.col("y_at"), F.col("a")).otherwise(F.col("b")).alias("id")).distinct()
+        return left.join(right, "b").filter(both >= threshold * (F.size("x") + F.size("y") - both) - 1e-9).select(F.col("b").alias("id")).distinct()
 
     decided = work.keep(verified(tried), "decided")
-    other = entries.select("token", F.col("id").alias("e"), F.col("at").alias("early"), F.col("n").alias("m"), F.col("pos").alias("p"))
-    rest = entries.join(decided, "id", "left_anti").join(other, "token").filter((F.col("early") < F.col("at")) & alike(F.col("n"), F.col("m"), F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("p"))))
-    rest = rest.select(F.least("id", "e").alias("a"), F.greatest("id", "e").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    other = entries.select("token", F.col("id").alias("e"), F.col("n").alias("m"), F.col("pos").alias("p"))
+    rest = entries.join(decided, "id", "left_anti").join(other, "token").filter((F.col("e") < F.col("id")) & alike(F.col("n"), F.col("m"), F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("p"))))
+    rest = work.keep(rest.select(F.col("e").alias("a"), F.col("id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "rest")
     decided = work.keep(decided.unionByName(verified(rest)).distinct(), "all-decided")
     out = repeated.unionByName(chosen.join(decided, "id", "left_semi").select("doc", "tk", "line_no")).distinct()
     out = work.keep(out.select(F.when(F.col("doc") != 2**63 - 1, F.col("doc")).alias("doc_id"), F.col("tk").alias("text_key"), "line_no"), "out")
-    work.drop("made", "again", "equal", "repeated", "sets", "chosen", "shared", "twos", "crowd", "wanted", "whole", "entries", "held", "tried", "decided", "all-decided")
+    work.drop("made", "again", "equal", "repeated", "sets", "chosen", "shared", "twos", "crowd", "wanted", "copies", "whole", "held", "tried", "decided", "rest", "all-decided")
     return out
 
 

@@ -46,6 +46,31 @@ def test_lines_against_all_pairs(spark):
     assert report[1] == (3, 1, "2") and report[4] == (0, 0, "") and report[5] == (1, 0, "")
 
 
+def test_prefixes_share_a_token_wherever_lines_match(spark):
+    texts = []
+    for i in range(120):
+        base = [f"w{(i * 7 + j * j) % 90}" if j % 3 else "ab"[j % 2] for j in range(1 + i % 60)]
+        texts += [" ".join(base), " ".join([*base[:-1], "end"]), " ".join(base[:2] * 9 + base)]
+    df = spark.createDataFrame(list(enumerate(texts)), "at long, line string").repartition(3)
+    found = {r["at"]: set(r.prefix) for r in lines.with_prefix(df, 5, 0.8).collect()}
+    sets = [tokens(x) for x in texts]
+    linked = [(a, b) for a, x in enumerate(sets) for b, y in enumerate(sets[:a]) if len(x & y) >= 0.8 * len(x | y) - 1e-9]
+    assert len(linked) > 50 and all(found[a] & found[b] for a, b in linked)
+    assert all(len(found[i]) <= max(len(x.split()) - 4, 1) * 0.2 + 1 for i, x in enumerate(texts))
+
+
+def test_lines_of_repeated_rows_and_rows_without_an_id(spark):
+    crowd = [(100 + i, line(60, (i,)) + "\n" + line(30, (i % 30,), "v")) for i in range(40)]
+    rows = crowd + [(None, line(60, (3,))), (7, line(60)), (7, line(60)), (7, line(60, (9,))), (None, line(8)), (2, line(8)), (5, "a b c d e " * 50), (6, "a b c d e " * 40)]
+    got = {(r.doc_id, r.text_key, r.line_no) for r in lines.duplicate_lines(table(spark, rows)).collect()}
+    keys = dict(table(spark, rows).select("text", F.xxhash64("text")).distinct().collect())
+    last = 2**63 - 1
+    distinct = sorted({(last if k is None else k, keys[t], t) for k, t in rows})
+    placed = [(k, h, i, frozenset(tokens(x))) for k, h, t in distinct for i, x in enumerate(t.split("\n"))]
+    want = {(k if k != last else None, h, i) for j, (k, h, i, s) in enumerate(placed) if any(len(s & o) >= 0.8 * len(s | o) - 1e-9 for *_, o in placed[:j])}
+    assert got == want and {k for k, *_ in got} >= {None, 7, 6}
+
+
 def test_dropped_lines_leave_the_rest(spark):
     rows = [(1, f"{line(9)}\nkeep me"), (2, f"first\n{line(9)}\n\nlast"), (3, line(9)), (4, None)]
     df = table(spark, rows)
