@@ -89,14 +89,14 @@ class BpeEncoder:
     with ``<|`` that may begin a special token, are encoded whole.
     """
 
-    def __init__(self, path: str, cache: int = 400_000) -> None:
+    def __init__(self, path: str, cache: int = 200_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         # Pre-tokens are handed over in the vocabulary's own letters, with the letter of a line break between them.
-        self.apart = Tokenizer.from_file(path)
-        self.apart.pre_tokenizer = pre_tokenizers.Split("Ċ", "isolated")
+        # One tokenizer cuts either way in turn: a second one would hold the vocabulary once more, in every worker.
+        self.plain, self.apart = self.tokenizer.pre_tokenizer, pre_tokenizers.Split("Ċ", "isolated")
         self.letters = _byte_letters()
         self.between = self.tokenizer.token_to_id("Ċ")
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
@@ -110,15 +110,19 @@ class BpeEncoder:
         lines = [x for x in new if "\n" in x]
         self.known.update(zip(lines, self._direct(lines), strict=True))
         words = [x for x in new if "\n" not in x] if lines else new
-        for i in range(0, len(words), block):
-            part = words[i : i + block]
-            text = "\n".join(part).encode().decode("latin-1").translate(self.letters)
-            ids = np.array(self.apart.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.dtype)
-            ends = (np.flatnonzero(ids == self.between) * ids.itemsize).tolist()
-            if len(ends) != len(part) - 1:
-                raise ValueError("not a byte-level vocabulary")
-            ids, size = ids.tobytes(), ids.itemsize
-            self.known.update(zip(part, [ids[a:b] for a, b in zip([0, *(x + size for x in ends)], [*ends, len(ids)], strict=True)], strict=True))
+        self.tokenizer.pre_tokenizer = self.apart
+        try:
+            for i in range(0, len(words), block):
+                part = words[i : i + block]
+                text = "\n".join(part).encode().decode("latin-1").translate(self.letters)
+                ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.dtype)
+                ends = (np.flatnonzero(ids == self.between) * ids.itemsize).tolist()
+                if len(ends) != len(part) - 1:
+                    raise ValueError("not a byte-level vocabulary")
+                ids, size = ids.tobytes(), ids.itemsize
+                self.known.update(zip(part, [ids[a:b] for a, b in zip([0, *(x + size for x in ends)], [*ends, len(ids)], strict=True)], strict=True))
+        finally:
+            self.tokenizer.pre_tokenizer = self.plain
 
     def encode(self, texts: pa.Array, end_id: int) -> list[bytes]:
         """The ids of each text (null: empty) with ``end_id`` after them."""
@@ -158,13 +162,13 @@ _ENCODERS: dict[str, BpeEncoder] = {}
 
 
 def encoder(path: str) -> BpeEncoder:
-    """One encoder for each worker process and vocabulary, so that its memory serves all tasks."""
+    """One encoder for each worker process and vocabulary, which is read once for all tasks. A task that empties ``known`` at its end leaves no more than that."""
     if path not in _ENCODERS:
         _ENCODERS[path] = BpeEncoder(path)
     return _ENCODERS[path]
 
 
-def batches(texts: pa.Array, most_bytes: int = 2_000_000) -> Iterator[tuple[int, pa.Array]]:
+def batches(texts: pa.Array, most_bytes: int = 1_000_000) -> Iterator[tuple[int, pa.Array]]:
     """(first row, rows) of runs of texts with about so many bytes; a longer text is a run of its own."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
     start = 0

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm._words import constants, mix, shingles, texts_of, words
-from tessera.llm._work import Workspace
+from tessera.llm._work import Workspace, releasing
 from tessera.llm.components import connected_components
 
 _U = np.uint64
@@ -136,7 +136,7 @@ def sign(docs: DataFrame, *, shingle_words: int, weighting: str, banding: Bandin
                 yield pa.RecordBatch.from_arrays([*ids, *keys, pa.array(sizes), lists], names=["doc_id", "text_key", "key1", "key2", "size", "bands"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
-    return texts.mapInArrow(run, "doc_id long, text_key long, key1 long, key2 long, size long, bands array<long>")
+    return texts.mapInArrow(releasing(run), "doc_id long, text_key long, key1 long, key2 long, size long, bands array<long>")
 
 
 def member_sets(texts: DataFrame, *, shingle_words: int, weighting: str) -> DataFrame:
@@ -150,7 +150,7 @@ def member_sets(texts: DataFrame, *, shingle_words: int, weighting: str) -> Data
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(counts)), pa.array(sets, pa.list_(pa.int64()))], names=["node", "members"])
 
     # Rows that repeat an id and a text make a set more than once.
-    return texts.select("node", "text").mapInArrow(run, "node long, members array<long>").groupBy("node").agg(F.first("members").alias("members"))
+    return texts.select("node", "text").mapInArrow(releasing(run), "node long, members array<long>").groupBy("node").agg(F.first("members").alias("members"))
 
 
 def near_classes(links: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm._labels import logistic, probability, remainder, training_texts
 from tessera.llm._words import constants, mix, texts_of
-from tessera.llm._work import Workspace
+from tessera.llm._work import Workspace, release, releasing
 
 _U = np.uint64
 #: Each kind of n-gram has this many hashed features.
@@ -172,10 +172,13 @@ def train(docs: DataFrame, labels: DataFrame, target: str, usable: Column, *, mo
 
     work = Workspace(docs.sparkSession, "nbsvm")
     chosen = texts.select("doc_id", "text", F.col("label").cast("int").alias("label"))
-    sample = work.keep(chosen.mapInArrow(run, "doc_id long, label int, features array<int>"), "sample").toArrow().sort_by([("doc_id", "ascending")])
+    sample = work.keep(chosen.mapInArrow(releasing(run), "doc_id long, label int, features array<int>"), "sample").toArrow().sort_by([("doc_id", "ascending")])
     share = labels.filter(usable).agg(F.avg(F.col(target).cast("double"))).first()[0]
     features = [x.values.to_numpy() for x in sample.column("features")]
-    return fit(features, sample.column("label").to_numpy(), 0.5 if share is None else float(share))
+    model = fit(features, sample.column("label").to_numpy(), 0.5 if share is None else float(share))
+    del features, sample
+    release()
+    return model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -188,7 +191,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             for start, rows in indicators(batch.column(1)):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(rows)), pa.array(shared.value.scores(rows))], names=["doc_id", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(releasing(run), "doc_id long, score double")
 
 
 def accepted(docs: DataFrame, model: Model) -> DataFrame:
@@ -201,7 +204,7 @@ def accepted(docs: DataFrame, model: Model) -> DataFrame:
             for start, rows in indicators(batch.column(at)):
                 yield batch.slice(start, len(rows)).filter(pa.array(shared.value.scores(rows) >= 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(releasing(run), docs.schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, target: str = "quality", modulus: int = 3, held: int = 1, most: int = 3000) -> DataFrame:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm._work import Workspace
+from tessera.llm._work import Workspace, releasing
 from tessera.llm.bpe import batches, encoder, vocabulary
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -44,7 +44,9 @@ def cut_pieces(docs: DataFrame, *, capacity: int = 1024, tokenizer: str | None =
                 columns = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int32(), *[pa.int64()] * 3), strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, _PIECE)
+        bpe.known.clear()
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(releasing(cut), _PIECE)
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

@@ -115,3 +115,40 @@ def test_sum_of_squares_is_least_each_time(sizes):
         gaps += [gap - size] * (gap > size)
         where.append(at)
     assert len(set(where)) >= -(-sum(sizes) // capacity)
+
+
+def test_one_vocabulary_in_memory(bpe):
+    from tokenizers import Tokenizer
+
+    assert sum(isinstance(x, Tokenizer) for x in vars(bpe).values()) == 1
+
+
+def test_packing_leaves_no_texts_in_its_workers(spark):
+    docs = spark.range(2000).selectExpr("id as doc_id", "concat_ws(' ', transform(sequence(0, 20), i -> concat('w', id, 'x', i))) as text").repartition(4)
+    assert packing.cut_pieces(docs).count() == 2000
+
+    def held(batches):
+        from tessera.llm import bpe
+
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"known": [sum(len(e.known) for e in bpe._ENCODERS.values())], "encoders": [len(bpe._ENCODERS)]})
+
+    found = spark.range(4, numPartitions=4).mapInArrow(held, "known long, encoders long").collect()
+    assert max(r.encoders for r in found) == 1 and max(r.known for r in found) == 0
+
+
+def test_memory_is_given_back_at_the_end_of_a_task():
+    import psutil
+
+    from tessera.llm._work import releasing
+
+    kept = []
+
+    def run(batches):
+        blocks = [np.ones(12_000) for _ in range(2000)]
+        kept.append(blocks[-1])
+        yield from batches
+
+    before = psutil.Process().memory_info().rss
+    assert list(releasing(run)(iter([1, 2]))) == [1, 2]
+    assert psutil.Process().memory_info().rss - before < 60e6
