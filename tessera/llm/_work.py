@@ -35,9 +35,11 @@ class Workspace:
     ``drop`` deletes what is no longer read. The rest goes when the JVM ends.
     """
 
-    def __init__(self, spark: SparkSession, name: str) -> None:
+    def __init__(self, spark: SparkSession, name: str, options: dict[str, str] | None = None) -> None:
+        """``options`` go to the Parquet writer."""
         make_importable(spark)
         self.spark = spark
+        self.options = options or {}
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self._path(self.root)[1].deleteOnExit(self._path(self.root)[0])
 
@@ -53,7 +55,7 @@ class Workspace:
         before = self.spark.conf.get(cleanup)
         self.spark.conf.set(cleanup, "true")
         try:
-            df.write.parquet(self.uri(name))
+            df.write.options(**self.options).parquet(self.uri(name))
         finally:
             self.spark.conf.set(cleanup, before)
         return self.spark.read.schema(df.schema).parquet(self.uri(name))

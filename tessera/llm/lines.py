@@ -16,6 +16,8 @@ BROADCAST_ROWS = 500_000
 CELLS = 1 << 16
 #: Bits of a token in the first pass that are not its first word's, and a number that is no token.
 _LOW, _NONE = (1 << 40) - 1, (1 << 63) - 1
+#: Nearly all columns kept here are hashes, which no dictionary and no compression makes smaller.
+_WRITER = {"parquet.enable.dictionary": "false", "compression": "uncompressed"}
 #: White space of one byte and of more, but for the line feed, which ends a line, and the space itself.
 _WHITE = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
 _WIDE_WHITE = "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
@@ -43,6 +45,14 @@ def _cut(text: Column) -> Column:
     return F.posexplode_outer(F.split(_white(text), "\n")).alias("line_no", "line")
 
 
+def _picked(text: Column, ids: Column) -> Column:
+    """The structs in ``ids`` with the ``line`` of each one's line_no, one a row. White space is looked for in these lines only; a line feed is none, so they are numbered as in :func:`_cut`."""
+    named = lambda parts, x: F.struct(x.alias("of"), F.get(parts, x["line_no"]).alias("line"))
+    # The array around the parts makes them the lambda's variable, or the text would be cut for every line; outer for the reason given above.
+    picked = F.transform(F.array(F.split(text, "\n")), lambda parts: F.transform(ids, lambda x: named(parts, x)))
+    return F.explode_outer(F.get(picked, F.lit(0))).alias("picked")
+
+
 def _words(line: str = "line") -> Column:
     return F.array_remove(F.split(F.lower(line), " "), "")
 
@@ -65,9 +75,9 @@ def _short(n: Column) -> Column:
 
 
 def with_tokens(lines: DataFrame, size: int) -> DataFrame:
-    """``line`` replaced by ``t``: distinct hashes of its runs of ``size`` words, lower-cased, ascending; one of all words of a shorter line; null without words."""
+    """``line`` replaced by ``t``: distinct hashes of its runs of ``size`` words, lower-cased, in no order; one of all words of a shorter line; null without words."""
     cut, n = _hashed(lines), F.size("h")
-    whole = F.sort_array(F.array_distinct(_runs(size, lambda first, run: run)))
+    whole = F.array_distinct(_runs(size, lambda first, run: run))
     return cut.withColumn("t", F.when(n >= size, whole).otherwise(_short(n))).drop("h")
 
 
@@ -79,13 +89,17 @@ def with_prefix(lines: DataFrame, size: int, threshold: float) -> DataFrame:
     """
     n = F.size("h")
     length = _prefix(n - size + 1, threshold)
-    cut = _hashed(lines).withColumn("first", F.when(n >= size, F.sort_array(F.array_distinct(F.slice("h", F.lit(1), n - size + 1)))))
-    cut = cut.withColumn("last", F.get("first", F.least(length, F.size("first")) - 1).bitwiseOR(F.lit(_LOW)))
+    cut = _hashed(lines).withColumn("first", F.when(n >= size, F.sort_array(F.slice("h", F.lit(1), n - size + 1))))
+    # Twice as many nearly always hold as many different ones; only otherwise are equal ones looked for among all.
+    cut = cut.withColumn("few", F.array_distinct(F.slice("first", F.lit(1), 2 * length)))
+    last = F.when(F.size("few") >= length, F.get("few", length - 1)).otherwise(F.element_at(F.slice(F.array_distinct("first"), F.lit(1), length), -1))
+    cut = cut.withColumn("last", last.bitwiseOR(F.lit(_LOW)))
     # Runs beyond the last first word are the greatest number, which no token is.
     token = lambda first, run: F.least(first.bitwiseAND(F.lit(~_LOW)).bitwiseOR(run.bitwiseAND(F.lit(_LOW))), F.lit(_NONE - 1))
     # Last is a lambda's variable too, or it would be looked up in its array for every run.
     found = F.transform(F.array("last"), lambda last: _runs(size, lambda first, run: F.when(first <= last, token(first, run)).otherwise(F.lit(_NONE))))
-    runs = F.array_remove(F.array_distinct(F.get(found, F.lit(0))), _NONE)
+    # Few runs are left once the others are removed, so that comes before looking for equal ones.
+    runs = F.array_distinct(F.array_remove(F.get(found, F.lit(0)), _NONE))
     prefix = F.when(n >= size, F.slice(F.sort_array(runs), F.lit(1), length)).otherwise(_short(n))
     kept = [F.col(f"`{c}`") for c in lines.columns if c != "line"]
     return cut.select(*kept, n.alias("n"), F.xxhash64("h").alias("k1"), F.xxhash64(F.lit(1), F.reverse("h")).alias("k2"), prefix.alias("prefix"))
@@ -129,7 +143,7 @@ def duplicate_lines(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
     it with another text are others, ordered by the text's hash. An empty table
     gives no rows. Other columns are not read.
     """
-    work = Workspace(docs.sparkSession, "lines")
+    work = Workspace(docs.sparkSession, "lines", _WRITER)
     placed = _placed(docs)
     place = F.struct("doc", "tk", "line_no")
     # Lines without tokens leave after the write: a filter here would have Spark cut every line once more.
@@ -158,16 +172,16 @@ def duplicate_lines(docs: DataFrame, *, threshold: float = 0.8, shingle_words: i
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chosen = chosen.repartitionByRange(tasks, "doc", "tk", "line_no").sortWithinPartitions("doc", "tk", "line_no")
     chosen = work.keep(chosen.withColumn("id", F.monotonically_increasing_id()), "sets")
-    listed = F.map_from_entries(F.collect_list(F.struct("line_no", F.struct("id", "k1", "crowd"))))
+    listed = F.collect_list(F.struct("line_no", "id", "k1", "crowd"))
     wanted = work.keep(chosen.groupBy("doc", "tk").agg(listed.alias("ids")), "wanted")
     # Of repeated rows one is cut; a table without any is neither shuffled nor read once more.
     copies = work.keep(every.filter("line_no = 0").groupBy("doc", "tk").agg(F.count("*").alias("times")).filter("times > 1").select("doc", "tk"), "copies")
     if not copies.isEmpty():
         rows = _sent(copies)
         placed = placed.join(rows, ["doc", "tk"], "left_anti").unionByName(placed.join(rows, ["doc", "tk"], "left_semi").groupBy("doc", "tk").agg(F.first("text").alias("text")))
-    texts = placed.join(_sent(wanted), ["doc", "tk"]).select("ids", _cut(F.col("text")))
-    texts = texts.select(F.col("ids")[F.col("line_no")].alias("of"), "line").filter("of is not null")
-    whole = work.keep(with_tokens(texts, shingle_words).select("of.*", "t"), "whole")
+    texts = placed.join(_sent(wanted), ["doc", "tk"]).select(_picked(F.col("text"), F.col("ids")))
+    texts = texts.select("picked.of.id", "picked.of.k1", "picked.of.crowd", _white(F.col("picked.line")).alias("line"))
+    whole = work.keep(with_tokens(texts, shingle_words), "whole")
     key = whole.select("k1", "id")
     twos = twos.join(key.select(F.col("k1").alias("a"), F.col("id").alias("x")), "a").join(key.select(F.col("k1").alias("b"), F.col("id").alias("y")), "b")
     twos = twos.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
@@ -206,7 +220,7 @@ def line_report(docs: DataFrame, duplicates: DataFrame) -> DataFrame:
     Null text has no lines; repeated rows each have their report; an empty table gives no rows.
     """
     per_doc = duplicates.groupBy(F.col("doc_id").alias("d"), "text_key").agg(F.sort_array(F.collect_set("line_no")).alias("lines"))
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1)
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"))) + 1)
     counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tk"), n_lines.cast("long").alias("n_lines"))
     joined = counted.join(per_doc, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tk") == F.col("text_key")), "left")
     lines = F.coalesce("lines", F.array().cast("array<int>"))

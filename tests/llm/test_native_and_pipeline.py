@@ -1,7 +1,9 @@
 """Line dedup, decontamination and the pipeline's stages against plain versions; no Python in native plans."""
 
 import hashlib
+import math
 
+import pyarrow.parquet as pq
 import pytest
 from brute import jaccard, words
 from pyspark.sql import functions as F
@@ -59,6 +61,27 @@ def test_prefixes_share_a_token_wherever_lines_match(spark):
     assert all(len(found[i]) <= max(len(x.split()) - 4, 1) * 0.2 + 1 for i, x in enumerate(texts))
 
 
+def test_a_prefix_is_the_first_of_all_tokens_in_their_order(spark):
+    texts = [" ".join(f"w{(i * j * j) % (2 + i % 40)}" for j in range(1 + i % 70)) for i in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "at long, line string")
+    whole = {r["at"]: list(r.prefix) for r in lines.with_prefix(df, 5, 1e-9).collect()}
+    found = {r["at"]: list(r.prefix) for r in lines.with_prefix(df, 5, 0.8).collect()}
+    for i, x in enumerate(texts):
+        n = len(x.split()) - 4
+        assert len(whole[i]) == len(tokens(x)) and found[i] == (whole[i] if n < 1 else whole[i][: n - math.ceil(n * 0.8 - 1e-9) + 1])
+
+
+def test_only_wanted_lines_are_read_again_and_hashes_are_written_plainly(spark):
+    text = "one\u00a0a\n\ntwo\tb\nthree"
+    df = spark.createDataFrame([(text, [(3, 30), (0, 10)]), (text, [(1, 20)])], "text string, ids array<struct<line_no: int, id: long>>")
+    rows = df.select(lines._picked(F.col("text"), F.col("ids"))).select("picked.of.id", "picked.line")
+    assert sorted(map(tuple, rows.collect())) == [(10, "one\u00a0a"), (20, ""), (30, "three")]
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    found = lines.duplicate_lines(table(spark, [(1, line(20)), (2, line(20))]))
+    columns = [pq.ParquetFile(f.removeprefix("file://")).metadata.row_group(0).column(c) for f in found.inputFiles() for c in range(3) if pq.ParquetFile(f.removeprefix("file://")).metadata.num_rows]
+    assert columns and all(c.compression == "UNCOMPRESSED" and not c.has_dictionary_page for c in columns)
+
+
 def test_lines_of_repeated_rows_and_rows_without_an_id(spark):
     crowd = [(100 + i, line(60, (i,)) + "\n" + line(30, (i % 30,), "v")) for i in range(40)]
     rows = crowd + [(None, line(60, (3,))), (7, line(60)), (7, line(60)), (7, line(60, (9,))), (None, line(8)), (2, line(8)), (5, "a b c d e " * 50), (6, "a b c d e " * 40)]
