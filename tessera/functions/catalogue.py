@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Collection
+from dataclasses import dataclass
 
 # Class names and their tokens. "re:" marks a pattern, anything else is literal text.
 CLASSES: dict[str, list[str]] = {
@@ -127,31 +129,70 @@ def patterns(extra: dict[str, list[str]] | None = None, *, linear: bool = False)
     return out
 
 
-def searches(extra: dict[str, list[str]] | None = None) -> dict[str, tuple[list[str], list[str] | None, str | None]]:
-    """For each class with tokens: literal texts; lower-case texts of which an ASCII text that the pattern matches holds
-    one, or None if there is no such list; the pattern of all that is not literal, if anything is."""
-    out = {}
-    for name, tokens in _tokens(extra).items():
-        literal = [t for t in tokens if not t.startswith("re:")]
-        found = [t[3:] for t in tokens if t.startswith("re:")]
-        needed = [_needed(x) for x in found]
-        guards = None if None in needed else sorted({x for x in needed if x})
-        if tokens:
-            out[name] = (literal, guards, "|".join(_scoped(LINEAR.get(x, x)) for x in found) or None)
-    return out
+@dataclass(frozen=True)
+class Search:
+    """One token of a class, with what a text must hold for it to be found; ``pattern`` is read only where the rest holds."""
+
+    #: Texts that all stand in every match, lower-case if ``folded``.
+    pieces: tuple[str, ...]
+    #: Letters of either case count, and those few beyond ASCII that fold into ASCII ones (:data:`ODD`).
+    folded: bool = False
+    #: None if the pieces decide (but for texts with :data:`ODD` letters).
+    pattern: str | None = None
+    #: The one piece must stand at the start of a line.
+    starts: bool = False
+    #: No ASCII text matches.
+    wide: bool = False
+
+    @property
+    def gate(self) -> str:
+        """A character of every match that few texts hold; "" if it has letters only."""
+        return next((c for c in GATES if any(c in x for x in self.pieces)), "")
+
+
+#: From rare to common in texts.
+GATES = "`|{}$\\<%!@*_\t\r+#&=;)(/\"':0192345678-."
+#: Letters that a search without regard to case takes for k, s or i.
+ODD = "\u212a\u017f\u0130\u0131"
+
+
+def searches(extra: dict[str, list[str]] | None = None, only: Collection[str] | None = None) -> dict[str, list[Search]]:
+    """The searches of each class that has tokens, or of the classes in ``only``."""
+    return {name: [s for t in tokens for s in _searches(t)] for name, tokens in _tokens(extra).items() if tokens and (only is None or name in only)}
+
+
+def _searches(token: str) -> list[Search]:
+    if not token.startswith("re:"):
+        return [Search((token,))]
+    pattern = token[3:]
+    if m := re.fullmatch(r"\^\[((?:\\[^a-zA-Z0-9]|\\[trf]|[^\\\]^-])+)\]", pattern):
+        return [Search(({"t": "\t", "r": "\r", "f": "\f"}.get(c[1:], c[-1]),), starts=True) for c in re.findall(r"\\.|.", m[1])]
+    folded, body = pattern.startswith("(?i)"), pattern.removeprefix("(?i)")
+    linear = _scoped(LINEAR.get(pattern, pattern))
+    if re.fullmatch(r"(?:\\[^a-zA-Z0-9]|[^\\.^$|+*?{}()\[\]])+", body) and body.isascii():
+        text = re.sub(r"\\(.)", r"\1", body)
+        return [Search((text.lower() if folded else text,), folded, linear if folded else None)]
+    needed = _needed(body)
+    return [Search(tuple(x.lower() if folded else x for x in needed or ()), folded, linear, wide=needed is None)]
+
+
+def decides(search: Search) -> bool:
+    """Whether its pieces alone find it in a text without :data:`ODD` letters."""
+    return search.pattern is None or (search.folded and len(search.pieces) == 1 and re.sub(r"\\(.)", r"\1", search.pattern[4:-1]).lower() == search.pieces[0])
 
 
-def _needed(pattern: str) -> str | None:
-    """The longest text, lower-case, that stands in every match of the pattern; "" if no ASCII text matches, None if there is no text."""
-    body = pattern.removeprefix("(?i)")
+def _needed(body: str) -> list[str] | None:
+    """Texts that all stand in every match of the pattern; None if no ASCII text matches."""
     if re.fullmatch(r"\[[^\]]*\]", body) and not any(re.search(body, chr(i)) for i in range(128)):
-        return ""
+        return None
     # Letters of a class, a group, an escape such as \b and what may stand more or fewer times end a run of plain letters.
     plain = re.sub(r"\[(?:\\.|[^\]])*\]|\((?:\\.|[^)])*\)|\\[a-zA-Z]", "\0", body)
     plain = re.sub(r"(?:\\.|.)(?:[*?]|\{[^}]*\})", "\0", plain, flags=re.DOTALL)
-    plain = re.sub(r"\\(.)|[.^$|+]", lambda m: m[1] or "\0", plain)
-    longest = max(plain.split("\0"), key=len)
-    return longest.lower() or None
+    if re.search(r"(?<!\\)\|", plain):
+        return []
+    plain = re.sub(r"\\(.)|[.^$+]", lambda m: m[1] or "\0", plain)
+    pieces = sorted({x for x in plain.split("\0") if x}, key=lambda x: (-len(x), x))
+    return [x for i, x in enumerate(pieces) if not any(x in y for y in pieces[:i])]
 
 
 def _scoped(pattern: str) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -88,9 +88,9 @@ def audit(df: DataFrame, columns: list[ColumnContract], key: Column, *, file: Co
     return unfolded.select("f.phase", "f.column", "file", "row", "f.reason", "f.escalate", "f.sample_hex", "f.classes", "f.via")
 
 
-def payload_findings(df: DataFrame, columns: list[str], key: Column) -> DataFrame:
-    """column, row, class, sample_hex of every payload class in the raw text of the columns."""
-    parts = F.array(*(F.struct(F.lit(c).alias("column"), raw_classes(F.col(c)).alias("classes"), sample_hex(F.col(c)).alias("sample_hex")) for c in columns))
+def payload_findings(df: DataFrame, columns: list[str], key: Column, only: Collection[str] | None = None) -> DataFrame:
+    """column, row, class, sample_hex of every payload class, or of those in ``only``, in the raw text of the columns."""
+    parts = F.array(*(F.struct(F.lit(c).alias("column"), raw_classes(F.col(c), only=only).alias("classes"), sample_hex(F.col(c)).alias("sample_hex")) for c in columns))
     hits = df.select(key.alias("row"), F.explode(parts).alias("p")).filter(F.size("p.classes") > 0)
     return hits.select("p.column", "row", F.explode("p.classes").alias("class"), "p.sample_hex")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 import re
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -60,8 +60,8 @@ def _class_sql(name: str, column: str, classes: dict[str, str]) -> str:
 _TEXT = {"documents": ("text", "doc_id"), "pages": ("html", "page_id"), "conversations": ("text", "conv_id"), "events": ("props", "event_id")}
 
 
-def _classes(spark: SparkSession, sf_dir: str, name: str, column: str, key: str) -> DataFrame:
-    found = findings.payload_findings(table(spark, sf_dir, name), [column], F.col(key))
+def _classes(spark: SparkSession, sf_dir: str, name: str, column: str, key: str, only: Collection[str] | None = None) -> DataFrame:
+    found = findings.payload_findings(table(spark, sf_dir, name), [column], F.col(key), only)
     return found.groupBy("class").agg(F.count("*").alias("rows"))
 
 
@@ -81,7 +81,7 @@ _register_payloads()
 
 @register("secrets_raw_documents", _class_sql("documents", "text", {k: p for k, p in patterns().items() if k in SECRETS}))
 def secrets_raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _classes(spark, sf_dir, "documents", "text", "doc_id").filter(F.col("class").isin(*SECRETS))
+    return _classes(spark, sf_dir, "documents", "text", "doc_id", SECRETS)
 
 
 @register("payload_inventory", " union all ".join(f"select '{t}' as source, '{c}' as column_name, class, rows from ({_class_sql(t, c, patterns())})" for t, (c, _) in _TEXT.items()))
