@@ -58,6 +58,17 @@ def test_audit_decodes_walks_and_knows_the_incident(spark):
     assert got[6, "tags"][0] == "payload: html_js" and not any(k == 1 for k, _ in got) and (6, "body") not in got and (6, "pair") not in got
 
 
+def test_values_with_nothing_to_decode_never_go_to_python(spark, monkeypatch):
+    columns = [ColumnContract("flag", "Nullable(String)"), ColumnContract("n", "Int32")]
+    df = spark.createDataFrame([("A", 1), (".", 2), ("", 3), (None, 4)], "flag string, n int").repartition(2)
+    rows = df.unionByName(spark.createDataFrame([(";", 5), ("Jw", 6), ("\u00e9", None)], df.schema)).coalesce(1)
+    hits = findings.audit(rows, columns, F.monotonically_increasing_id(), text=False, limits=Limits())
+    # The key counts all rows, those too that are set aside.
+    assert {(r.column, r.row, r.reason) for r in hits.collect()} == {("flag", 4, "payload: sql,shell"), ("flag", 5, "payload: sql"), ("n", 6, "null in a column without nulls")}
+    monkeypatch.setattr(findings, "decoded_scan", lambda value, **_: F.raise_error(F.lit("sent to Python")).cast("struct<classes: array<string>, via: array<string>, over_budget: boolean>"))
+    assert findings.audit(df, columns, F.col("n"), text=False, limits=Limits()).count() == 0
+
+
 def test_an_encoded_payload_is_not_published(spark, tmp_path):
     contract = TableContract("t", (ColumnContract("id", "Int64"), ColumnContract("body", "String")))
     df = spark.createDataFrame([(1, "%3Cscript%3E")], "id long, body string")
