@@ -7,7 +7,6 @@ import re
 import tempfile
 from collections.abc import Callable, Collection
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +16,7 @@ from tessera.errors import UsageError
 from tessera.functions import export
 from tessera.functions import validators as v
 from tessera.functions.catalogue import SECRETS, patterns
-from tessera.functions.payloads import decoded_scan, sample_hex
+from tessera.functions.payloads import decoded_scan, nfc_differs, sample_hex
 from tessera.operators import findings, paging, profile, reconcile, schema
 from tessera.plans import publish
 from tessera.session import make_importable
@@ -101,13 +100,7 @@ def payload_decoded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("normalise_differs", "select doc_id, nfc_normalize(text) <> text as differs from documents where text is not null")
 def normalise_differs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    @F.pandas_udf("boolean")
-    def differs(texts: pd.Series) -> pd.Series:
-        import unicodedata
-
-        return texts.map(lambda t: not unicodedata.is_normalized("NFC", t))
-
-    return table(spark, sf_dir, "documents").filter("text is not null").select("doc_id", differs("text").alias("differs"))
+    return table(spark, sf_dir, "documents").filter("text is not null").select("doc_id", nfc_differs(F.col("text")).alias("differs"))
 
 
 @register("hex_samples", "select doc_id, substr(lower(hex(encode(text))), 1, 128) as sample_hex from documents")

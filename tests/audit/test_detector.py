@@ -156,3 +156,18 @@ def test_runs_that_may_decode_are_those_that_do():
         value = bytes(rng.choices(b"ABQgwcz019+/-_==  .", k=rng.randrange(65, 200)))
         every = re.findall(rb"[A-Za-z0-9+/=_-]{2,}", value)
         assert [d for x in p._runs(value, len(value)) if (d := p.strict_base64(x))] == [d for x in every if (d := p.strict_base64(x))]
+
+
+def test_nfc_reads_only_what_it_may_change(spark, monkeypatch):
+    import unicodedata
+
+    rng = random.Random(6)
+    bits = ["e\u0301", "\u00e9", "a", "\n", "\u0301", "\u0323\u0307", "\u0307\u0323", "\u1100\u1161", "\uac00", "\u11a8", "\u212b", "\u0958", "\u09c7\u09be", "\uf900", "\u4e00", "\U0002f800", "\U0001d15e", "\u304b\u3099", "x" * 30]
+    texts = ["".join(rng.choices(bits, k=rng.randrange(0, 5))) for _ in range(1500)] + [chr(c) for c in range(0x250, 0x3000)] + ["a" + chr(c) for c in range(0x250, 0x3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(4)
+    for r in df.select("t", p.nfc_differs(F.col("t")).alias("d")).collect():
+        assert r.d == (not unicodedata.is_normalized("NFC", r.t)), ascii(r.t)
+    # Of a long text with one such part Python gets that part: before, batches of 10,000 whole texts.
+    monkeypatch.setattr(F, "arrow_udf", lambda kind: lambda f: F.length)
+    got = spark.createDataFrame([("\u00e9\u4e00z" * 100_000 + "e\u0301",), ("\u00e9" * 1000,)], "t string").select(p.nfc_differs(F.col("t")).alias("n")).collect()
+    assert [r.n for r in got] == [2, None]
